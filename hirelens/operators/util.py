@@ -1,0 +1,16 @@
+"""Small helpers shared by the operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only behind a checked bound; otherwise leave the join to the planner.
+
+    The check reads at most ``max_rows + 1`` rows, so it is cheap on a small
+    lookup table and bounded on a large one.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
