@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens.functions.literals import lit_array, lit_map
+from hirelens.functions.trie import trie_regex
 
 from hirelens import refdata as R
 from hirelens.functions.text import ColumnOrName, col
@@ -36,8 +37,8 @@ def clean_location(c: ColumnOrName) -> Column:
 
 
 def _alternation(keys: list[str]) -> str:
-    keys = sorted(set(keys), key=lambda k: (-len(k), k))
-    return rf"(?<!{_EDGE})(" + "|".join(re.escape(k) for k in keys) + rf")(?!{_EDGE})"
+    """Leftmost key, longest first, as whole tokens (prefix-trie regex)."""
+    return rf"(?<!{_EDGE})({trie_regex(keys)})(?!{_EDGE})"
 
 
 

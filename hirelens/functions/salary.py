@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions.literals import lit_array, lit_map
+from hirelens.functions.trie import trie_regex
 
 from hirelens import refdata as R
 from hirelens.functions.text import ColumnOrName, col, normalize_text
@@ -36,9 +37,14 @@ def _token_regex(token: str) -> str:
     return out
 
 
-def _alt(tokens: list[str]) -> str:
-    uniq = sorted(set(tokens), key=lambda t: (-len(t), t))
-    return "|".join(_token_regex(t) for t in uniq)
+# Alphabetic token edges must not touch other letters: checked once around the trie.
+_ALPHA_START = r"(?:(?=\p{L})(?<!\p{L})|(?!\p{L}))"
+_ALPHA_END = r"(?:(?<=\p{L})(?!\p{L})|(?<!\p{L}))"
+
+
+def _alt(tokens: list[str], upper: bool = True) -> str:
+    words = {t.upper() if upper else t.lower() for t in tokens}
+    return _ALPHA_START + trie_regex(sorted(words)) + _ALPHA_END
 
 
 _ALL_CURRENCY_TOKENS = R.CURRENCY_TOKENS + R.EXTRA_CURRENCY_TOKENS
@@ -48,7 +54,7 @@ _SINGLE_LETTER_CURRENCIES = sorted({t for t in R.CURRENCY_TOKENS if len(t) == 1
 # One-letter currency tokens only count upper-case and touching the number (Q7).
 CUR_PREFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + "|(?-i:" + "|".join(_SINGLE_LETTER_CURRENCIES) + r")(?=\d))"
 CUR_SUFFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + ")"
-PERIOD = "(?:" + _alt(R.PERIOD_PHRASES) + ")"
+PERIOD = "(?:" + _alt(R.PERIOD_PHRASES, upper=False) + ")"
 UNIT = r"/(?:yr|year|annum|mo|month|hr|hour)(?!\p{L})"
 # Indian grouping, thousands-grouped, or plain digits; optional 1-2 decimals; k/m (Q3).
 NUM = (r"(?<![\d.,])(?:\d{1,3}(?:,\d{2})+,\d{3}|\d{1,3}(?:[.,]\d{3})+|\d+)"

@@ -15,7 +15,7 @@ from hirelens import refdata as R
 from hirelens.functions import location as G
 from hirelens.functions import roles as X
 from hirelens.functions import salary as L
-from hirelens.functions.skills import extract_skills
+from hirelens.functions.skills import extract_skills, extract_skills_from_found, keywords_found
 from hirelens.functions.literals import lit_map
 from hirelens.functions.text import all_obfuscated, normalize_text
 from hirelens.operators.util import broadcast_if_small
@@ -97,10 +97,11 @@ def enrich(bronze: DataFrame, rates: dict[str, float] | DataFrame | None = None,
     fallback = G.country_currency(F.col("country"))
     cols = L.salary_fields(F.col("_best"), fallback_currency=fallback)
     cols["experience_level"] = X.experience_level("title", "description", word_boundary=word_boundary)
-    cols.update(extract_skills(F.col("description")))
+    cols.update(extract_skills_from_found(F.col("_kw")))
     cols["work_type"] = X.work_type_with_header(header, "title", "description")
     cols["employment_type"] = X.employment_type_with_header(header, "title", "description")
-    df = df.withColumns(cols).drop("_best")
+    df = df.withColumn("_kw", keywords_found(F.col("description")))
+    df = df.withColumns(cols).drop("_best", "_kw")
     return annualize(df, rates)
 
 
@@ -130,7 +131,8 @@ def fill_missing_salary(df: DataFrame, fallback: DataFrame) -> DataFrame:
 
 def reextract_skills(silver: DataFrame) -> DataFrame:
     """K5: recompute the four skill arrays only."""
-    return silver.withColumns(extract_skills(F.col("description")))
+    df = silver.withColumn("_kw", keywords_found(F.col("description")))
+    return df.withColumns(extract_skills_from_found(F.col("_kw"))).drop("_kw")
 
 
 def resolve_countries(df: DataFrame, location_col: str, gazetteer: DataFrame,

@@ -25,7 +25,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NaT:
+        return None
+    if isinstance(v, float) and math.isnan(v):
         return None
     if isinstance(v, float):
         if math.isnan(v):
