@@ -67,14 +67,23 @@ COUNTRY_NAMES = _country_names()
 def extract_country(location: ColumnOrName) -> Column:
     """G1: city key → US state code of the last part → country name of the last
     part → whole string is a country → a country name inside → 'Unknown'."""
-    cleaned = clean_location(location)
+    return country_of_clean(clean_location(location))
+
+
+def country_of_clean(cleaned: ColumnOrName) -> Column:
+    """G1 rules on an already cleaned location (null / '' → 'Unknown').
+
+    For tables, materialise ``clean_location`` as a column first so every
+    rule reads it instead of re-cleaning.
+    """
+    cleaned = col(cleaned)
     cities, names = lit_map(CITY_TABLE), lit_map(COUNTRY_NAMES)
     city_key = F.regexp_extract(cleaned, _alternation(list(CITY_TABLE)), 1)
     last = F.trim(F.element_at(F.split(cleaned, ","), -1))
     inner_key = F.regexp_extract(cleaned, _alternation(list(COUNTRY_NAMES)), 1)
     states = lit_array(R.US_STATE_CODES)
     return (
-        F.when(col(location).isNull() | (cleaned == ""), F.lit(R.UNKNOWN_COUNTRY))
+        F.when(cleaned.isNull() | (cleaned == ""), F.lit(R.UNKNOWN_COUNTRY))
         .when(city_key != "", F.element_at(cities, city_key))
         .when(F.array_contains(states, last), F.lit("United States"))
         .when(F.map_contains_key(names, last), F.element_at(names, last))

@@ -22,10 +22,14 @@ def _has(text: Column, words: list[str], word_boundary: bool) -> Column:
     return text.rlike(word_regex(words)) if word_boundary else contains_any(text, words)
 
 
-def experience_level(title: ColumnOrName, description: ColumnOrName, word_boundary: bool = False) -> Column:
-    """X1: 'Entry-Level' | 'Mid-Level' | 'Senior' | 'Not Specified'."""
-    t = F.lower(normalize_text(title))
-    d = F.lower(normalize_text(description))
+def experience_level(title: ColumnOrName, description: ColumnOrName, word_boundary: bool = False,
+                     normalized: bool = False) -> Column:
+    """X1: 'Entry-Level' | 'Mid-Level' | 'Senior' | 'Not Specified'.
+
+    ``normalized=True``: inputs are already trimmed, non-null and lower-case.
+    """
+    t = col(title) if normalized else F.lower(normalize_text(title))
+    d = col(description) if normalized else F.lower(normalize_text(description))
     lo = F.regexp_extract(d, _YEAR_RANGE, 1).try_cast("long")
     hi = F.regexp_extract(d, _YEAR_RANGE, 2).try_cast("long")
     has_range = d.rlike(_YEAR_RANGE) & lo.isNotNull() & hi.isNotNull()
@@ -69,6 +73,23 @@ def employment_type(title: ColumnOrName, description: ColumnOrName) -> Column:
     return _classify(_joined(title, description), R.EMPLOYMENT_TYPE_RULES)
 
 
+def work_type_of(text_lower: ColumnOrName) -> Column:
+    """X2 on an already lower-cased 'title description' text."""
+    return _classify(col(text_lower), R.WORK_TYPE_RULES)
+
+
+def employment_type_of(text_lower: ColumnOrName) -> Column:
+    """X3 on an already lower-cased 'title description' text."""
+    return _classify(col(text_lower), R.EMPLOYMENT_TYPE_RULES)
+
+
+def header_first_of(fn, header_lower: ColumnOrName, text_lower: ColumnOrName) -> Column:
+    """X4 on pre-normalised, lower-cased inputs (header may be null or empty)."""
+    h = col(header_lower)
+    from_header = F.when(h != "", F.nullif(fn(F.concat_ws(" ", h, h)), F.lit(R.NOT_SPECIFIED)))
+    return F.coalesce(from_header, fn(text_lower))
+
+
 def header_first(fn, header: ColumnOrName, title: ColumnOrName, description: ColumnOrName) -> Column:
     """Use the header's answer when the header is non-empty and decisive."""
     h = normalize_text(header)

@@ -233,7 +233,7 @@ def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
     runs once per sentence / match instead of once per reference.
     """
     p = f"_{out}_"
-    df = df.withColumn(p + "sents", F.split(normalize_text(text), SENTENCE_SPLIT))
+    df = df.withColumn(p + "sents", F.split(text, SENTENCE_SPLIT))
     df = df.withColumn(p + "kept", F.filter(F.col(p + "sents"), _keep_sentence))
     df = df.withColumn(p + "matches", match_strings(F.col(p + "sents"), F.col(p + "kept")))
     df = df.withColumn(p + "groups", match_groups(F.col(p + "matches")))
@@ -244,14 +244,15 @@ def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
 
 
 def with_salary_header_first(df: DataFrame, header: Column, title: Column | None, description: Column,
-                             out: str = "_best") -> DataFrame:
+                             out: str = "_best", normalized: bool = False) -> DataFrame:
     """Best candidate of the header text; otherwise of title + description.
 
     The body is only scanned for rows whose header gave nothing.
+    ``normalized=True``: title / description are already trimmed and non-null.
     """
     h = normalize_text(header)
-    body = normalize_text(description) if title is None else F.concat_ws(
-        " ", normalize_text(title), normalize_text(description))
+    norm = (lambda c: c) if normalized else normalize_text
+    body = norm(description) if title is None else F.concat_ws(" ", norm(title), norm(description))
     df = with_best_salary(df, F.when(h != "", h), f"{out}_h")
     df = with_best_salary(df, F.when(F.col(f"{out}_h").isNull(), body), f"{out}_b")
     return df.withColumn(out, F.coalesce(F.col(f"{out}_h"), F.col(f"{out}_b"))).drop(f"{out}_h", f"{out}_b")

@@ -69,8 +69,12 @@ def safe_double(c: ColumnOrName) -> Column:
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
-    """Plain substring test against a fixed word list (one JVM regex, literals quoted)."""
-    return text.rlike("|".join(re.escape(w) for w in words))
+    """Plain substring test against a fixed word list (byte search per word, no regex)."""
+    cond = None
+    for w in words:
+        c = text.contains(w)
+        cond = c if cond is None else cond | c
+    return cond
 
 
 def word_regex(alternatives: list[str], escape: bool = True) -> str:

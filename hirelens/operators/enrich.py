@@ -91,17 +91,25 @@ def enrich(bronze: DataFrame, rates: dict[str, float] | DataFrame | None = None,
     if drop_obfuscated:
         df = drop_obfuscated_rows(df)
     header = _maybe(df, "header_text")
-    country = G.extract_country(F.col("location")) if "location" in df.columns else F.lit(R.UNKNOWN_COUNTRY)
-    df = df.withColumn("country", country)
-    df = L.with_salary_header_first(df, header, F.col("title"), F.col("description"), "_best")
+    if "location" in df.columns:
+        df = df.withColumn("_loc", G.clean_location(F.col("location")))
+        df = df.withColumn("country", G.country_of_clean(F.col("_loc"))).drop("_loc")
+    else:
+        df = df.withColumn("country", F.lit(R.UNKNOWN_COUNTRY))
+    df = L.with_salary_header_first(df, header, F.col("title"), F.col("description"), "_best", normalized=True)
+    # lower-cased texts shared by the classifiers and the skill scan, computed once per row
+    df = df.withColumns({
+        "_t": F.lower("title"), "_d": F.lower("description"),
+        "_h": F.lower(normalize_text(header)),
+    })
+    df = df.withColumns({"_td": F.concat_ws(" ", "_t", "_d"), "_kw": keywords_found(F.col("_d"))})
     fallback = G.country_currency(F.col("country"))
     cols = L.salary_fields(F.col("_best"), fallback_currency=fallback)
-    cols["experience_level"] = X.experience_level("title", "description", word_boundary=word_boundary)
+    cols["experience_level"] = X.experience_level("_t", "_d", word_boundary=word_boundary, normalized=True)
     cols.update(extract_skills_from_found(F.col("_kw")))
-    cols["work_type"] = X.work_type_with_header(header, "title", "description")
-    cols["employment_type"] = X.employment_type_with_header(header, "title", "description")
-    df = df.withColumn("_kw", keywords_found(F.col("description")))
-    df = df.withColumns(cols).drop("_best", "_kw")
+    cols["work_type"] = X.header_first_of(X.work_type_of, "_h", "_td")
+    cols["employment_type"] = X.header_first_of(X.employment_type_of, "_h", "_td")
+    df = df.withColumns(cols).drop("_best", "_kw", "_t", "_d", "_h", "_td")
     return annualize(df, rates)
 
 

@@ -13,7 +13,7 @@ from hirelens.functions.skills import extract_skills
 from hirelens.functions.text import is_obfuscated, join_list, parse_list
 from hirelens.operators import clean, merge
 from hirelens.operators.enrich import annualize
-from hirelens.plans.common import build_silver, m2, money, read
+from hirelens.plans.common import m2, money, read, silver
 from hirelens.plans.expected_sql import cte
 from hirelens.plans.registry import register
 from hirelens.sources import driver_tables as T
@@ -23,8 +23,11 @@ E = cte()
 
 @register("silver_build")
 def silver_build(spark, d):
-    """Bronze → silver enrichment, written to the shared folder (its row count is the check)."""
-    return build_silver(spark, d)
+    """Bronze → silver enrichment, written to the shared folder (its row count is the check).
+
+    Goes through the per-session silver table, so gold / report queries run
+    after it read what it wrote instead of enriching again."""
+    return silver(spark, d)
 
 
 # ------------------------------------------------------------------ merges
@@ -289,3 +292,23 @@ def header_from_pages(spark, d):
     first_p = F.nullif(F.regexp_extract("html", r"<p>([^<]*)</p>", 1), F.lit(""))
     return p.select("page_id", title.alias("title"), page_header(F.col("html")).alias("header_text"),
                     fallback_header(F.col("url"), title, first_p).alias("fallback_header"))
+
+
+# ------------------------------------------------------------------ streaming driver of U3
+@register("stream_merge_keep_first", _merge_sql("ASC", "min"))
+def stream_merge_keep_first(spark, d):
+    """U3 through Structured Streaming: both batches land as files, an availableNow
+    file stream merges them in order into a versioned master table."""
+    from hirelens.session import scratch_path
+    from hirelens.streaming.ingest import VersionedTable, merge_stream
+    old, new = _batches(spark, d)
+    root = scratch_path(spark, "stream-merge")
+    incoming = f"{root}/incoming"
+    # maxFilesPerTrigger=1 is not needed: batches are merged in file order by _batch inside the merge.
+    old.write.mode("overwrite").parquet(f"{incoming}/batch=0")
+    master = VersionedTable(spark, f"{root}/master")
+    master.commit(merge.dedupe(spark.read.parquet(f"{incoming}/batch=0").drop("batch"), ["link"], "first"))
+    new.write.mode("overwrite").parquet(f"{incoming}/batch=1")
+    schema = new.schema
+    out = merge_stream(spark, f"{incoming}/batch=1", schema, master, f"{root}/checkpoint", ["link"], "first")
+    return _out(out)

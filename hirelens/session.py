@@ -26,6 +26,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Text extraction is CPU-heavy per byte: let AQE keep small post-shuffle
+        # partitions instead of packing a few MB of postings into one task.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(shuffle_partitions or 200),
         # Dimension tables here are tiny; anything above this stays a shuffle join.
