@@ -312,3 +312,56 @@ def stream_merge_keep_first(spark, d):
     schema = new.schema
     out = merge_stream(spark, f"{incoming}/batch=1", schema, master, f"{root}/checkpoint", ["link"], "first")
     return _out(out)
+
+
+# ------------------------------------------------------------------ sources / re-extraction / join forms
+@register("bronze_csv_roundtrip", E + """
+SELECT id, title, company, location, date_posted FROM exp_postings""")
+def bronze_csv_roundtrip(spark, d):
+    """S1 + S2: bronze written as CSV (quoted, multi-line-safe) and read back with the fixed schema."""
+    from hirelens.session import scratch_path
+    from hirelens.sources.files import read_bronze_csv, write_csv
+    path = scratch_path(spark, "bronze-csv")
+    write_csv(_bronze(spark, d), path)
+    return read_bronze_csv(spark, path).select("id", "title", "company", "location", "date_posted")
+
+
+@register("salary_with_rates_table", E + f"""
+SELECT id, currency_raw, {m2('avg_salary_annual_usd')} AS avg_salary_annual_usd FROM exp_postings""")
+def salary_with_rates_table(spark, d):
+    """S5 + J2: rates read from the JSON object file and joined (size-checked broadcast)."""
+    from hirelens.sources.files import read_rates
+    b = _bronze(spark, d)
+    df = L.with_salary_header_first(b, F.col("header_text"), F.col("title"), F.col("description"), "_best")
+    df = df.select("id", *[v.alias(k) for k, v in L.salary_fields(F.col("_best")).items()])
+    df = annualize(df, read_rates(spark))
+    return df.select("id", "currency_raw", money("avg_salary_annual_usd"))
+
+
+@register("salary_reextract", E + f"""
+SELECT id, has_salary, currency_raw, {m2('avg_salary_annual_usd')} AS avg_salary_annual_usd, salary_confidence
+FROM exp_postings""")
+def salary_reextract(spark, d):
+    """Salary columns recomputed over silver (header used only with a salary keyword)."""
+    from hirelens.operators.enrich import reextract_salary
+    from hirelens.plans.common import silver
+    s = reextract_salary(silver(spark, d))
+    return s.select("id", "has_salary", "currency_raw", money("avg_salary_annual_usd"), "salary_confidence")
+
+
+@register("skills_reextract", E + f"SELECT p.id, {_SKILLS_SQL} FROM exp_postings p")
+def skills_reextract(spark, d):
+    """K5: only the four skill arrays recomputed over silver."""
+    from hirelens.operators.enrich import reextract_skills
+    from hirelens.plans.common import silver
+    s = reextract_skills(silver(spark, d))
+    return s.select("id", *[F.concat_ws(";", c).alias(c) for c in R.SKILL_COLUMNS])
+
+
+@register("extract_country_gazetteer_join", E + "SELECT id, country FROM exp_postings")
+def extract_country_gazetteer_join(spark, d):
+    """G1/G2/J8 join form: distinct cleaned locations × broadcast gazetteer table, joined back."""
+    from hirelens.operators.enrich import resolve_countries
+    gaz = spark.createDataFrame([(k, c, i) for i, (k, c) in enumerate(R.CITY_TO_COUNTRY)],
+                                "key string, country string, priority int")
+    return resolve_countries(_bronze(spark, d), "location", gaz).select("id", "country")

@@ -308,3 +308,26 @@ def distinct_levels_max_salary(spark, d):
 
 
 __all__ = ["R"]
+
+
+@register("suppressed_levels", E + """
+, l(experience_level) AS (VALUES ('Entry-Level'), ('Mid-Level'), ('Senior')),
+n AS (SELECT experience_level, count(*) AS n FROM exp_postings WHERE avg_salary_annual_usd IS NOT NULL GROUP BY 1)
+SELECT l.experience_level, n.n FROM l LEFT JOIN n USING (experience_level) WHERE coalesce(n.n, 0) < 10""")
+def suppressed_levels(spark, d):
+    """A15 (second output): listed levels with fewer than 10 salaries."""
+    return Q.suppressed_levels(silver(spark, d), "experience_level", LEVELS)
+
+
+@register("salary_box_by_country", E + f"""
+, q AS (SELECT country, min(avg_salary_annual_usd) AS mn, quantile_cont(avg_salary_annual_usd, 0.25) AS q1,
+               median(avg_salary_annual_usd) AS med, quantile_cont(avg_salary_annual_usd, 0.75) AS q3,
+               max(avg_salary_annual_usd) AS mx, count(avg_salary_annual_usd) AS n
+        FROM exp_postings WHERE country IS NOT NULL AND avg_salary_annual_usd IS NOT NULL GROUP BY country)
+SELECT country, {m2('mn')} AS min, {m2('q1')} AS q1, {m2('med')} AS median, {m2('q3')} AS q3, {m2('mx')} AS max, n,
+       {m2('greatest(mn, q1 - 1.5 * (q3 - q1))')} AS lower_whisker,
+       {m2('least(mx, q3 + 1.5 * (q3 - q1))')} AS upper_whisker FROM q""")
+def salary_box_by_country(spark, d):
+    b = Q.box_stats(silver(spark, d), "country")
+    return b.select("country", *[money(c) for c in ["min", "q1", "median", "q3", "max"]], "n",
+                    money("lower_whisker"), money("upper_whisker"))
