@@ -38,8 +38,9 @@ def _batches(spark, d):
         .otherwise(F.concat(F.lit("https://jobs.example.com/c/"), F.col("o_custkey").cast("string"))).alias("link"),
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"),
         F.to_date("o_orderdate").alias("date_posted"), F.col("o_orderkey").alias(merge.SEQ))
-    old = rows.where(F.year("date_posted") <= 1997).withColumn(merge.BATCH, F.lit(0))
-    new = rows.where(F.year("date_posted") >= 1997).withColumn(merge.BATCH, F.lit(1))
+    # raw range predicates on the source column so the batch split reaches the Parquet scan
+    old = rows.where(o.o_orderdate < F.lit("1998-01-01").cast("timestamp_ntz")).withColumn(merge.BATCH, F.lit(0))
+    new = rows.where(o.o_orderdate >= F.lit("1997-01-01").cast("timestamp_ntz")).withColumn(merge.BATCH, F.lit(1))
     return old, new
 
 
