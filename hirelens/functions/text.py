@@ -81,3 +81,10 @@ def word_regex(alternatives: list[str], escape: bool = True) -> str:
     """Java regex for whole-word alternatives (ASCII word chars, like Python's \\b on ASCII text)."""
     alts = "|".join(re.escape(a) if escape else a for a in alternatives)
     return rf"\b(?:{alts})\b"
+
+
+def parse_list_literal(c: ColumnOrName) -> Column:
+    """K7: a Python-style list literal "['a', 'b']" → array<string> (legacy CSV cells); bad → []."""
+    as_json = F.regexp_replace(col(c), r"'", '"')
+    arr = F.from_json(as_json, "array<string>")
+    return F.filter(F.transform(F.coalesce(arr, F.array().cast("array<string>")), F.trim), lambda x: x != "")

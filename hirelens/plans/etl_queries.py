@@ -366,3 +366,26 @@ def extract_country_gazetteer_join(spark, d):
     gaz = spark.createDataFrame([(k, c, i) for i, (k, c) in enumerate(R.CITY_TO_COUNTRY)],
                                 "key string, country string, priority int")
     return resolve_countries(_bronze(spark, d), "location", gaz).select("id", "country")
+
+
+@register("skill_list_literal", E + """
+SELECT o.o_orderkey AS id, coalesce((SELECT string_agg(text_skill, ';' ORDER BY text_skill)
+       FROM exp_order_skills s WHERE s.job_id = o.o_orderkey), '') AS skills FROM orders o""")
+def skill_list_literal(spark, d):
+    """K7: skills stored as a list literal string ("['a', 'b']") parsed back to an array."""
+    from hirelens.functions.text import parse_list_literal
+    o = read(spark, d, "orders").select("o_orderkey")
+    lists = T.order_skill_lists(spark, d)
+    literal = F.concat(F.lit("["), F.concat_ws(", ", F.transform(
+        F.coalesce("skills", F.array().cast("array<string>")), lambda s: F.concat(F.lit("'"), s, F.lit("'")))),
+        F.lit("]"))
+    j = o.join(lists, o.o_orderkey == lists.l_orderkey, "left")
+    return j.select(F.col("o_orderkey").alias("id"), join_list(parse_list_literal(literal)).alias("skills"))
+
+
+@register("missing_salary_rows", E + """
+SELECT id, title FROM exp_postings WHERE avg_salary_annual_usd IS NULL""")
+def missing_salary_rows(spark, d):
+    """Postings whose salary is missing."""
+    from hirelens.plans.common import silver
+    return silver(spark, d).where(F.col("avg_salary_annual_usd").isNull()).select("id", "title")
