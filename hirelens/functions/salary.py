@@ -24,7 +24,7 @@ from hirelens.functions.literals import lit_array, lit_map
 from hirelens.functions.trie import trie_regex
 
 from hirelens import refdata as R
-from hirelens.functions.text import ColumnOrName, col, normalize_text
+from hirelens.functions.text import ColumnOrName, col, contains_any, normalize_text
 
 
 def _token_regex(token: str) -> str:
@@ -59,7 +59,7 @@ UNIT = r"/(?:yr|year|annum|mo|month|hr|hour)(?!\p{L})"
 # Indian grouping, thousands-grouped, or plain digits; optional 1-2 decimals; k/m (Q3).
 NUM = (r"(?<![\d.,])(?:\d{1,3}(?:,\d{2})+,\d{3}|\d{1,3}(?:[.,]\d{3})+|\d+)"
        r"(?:[.,]\d{1,2}(?![\d]))?(?:[kKmM](?!\p{L}))?")
-LEAD = r"(?:(" + "|".join(R.SALARY_LEAD_WORDS) + r")(?:\s+range)?\s*:\s*)?"
+LEAD = r"(?:(" + trie_regex(R.SALARY_LEAD_WORDS) + r")(?:\s+range)?\s*:\s*)?"
 DASH = r"(?:-|–|—|to(?!\p{L}))"  # alternatives, not a character class (Q10)
 
 # Groups: 1 lead, 2 cur1, 3 num1, 4 unit1, 5 cur1 suffix, 6 cur2, 7 num2, 8 unit2, 9 cur3, 10 period
@@ -72,8 +72,8 @@ ANCHORED = "^" + MASTER.replace("(?iu)", "", 1)
 ANCHORED = "(?iu)" + ANCHORED
 
 SENTENCE_SPLIT = r"(?<=[.!?])\s+"
-_SALARY_SENT = "|".join(re.escape(k) for k in R.SALARY_KEYWORDS)
-_FUNDING_SENT = r"\b(?:" + "|".join(re.escape(k) for k in R.FUNDING_KEYWORDS) + r")\b"  # word bounded (Q19)
+_SALARY_SENT = trie_regex(R.SALARY_KEYWORDS)                       # substring semantics
+_FUNDING_SENT = r"\b" + trie_regex(R.FUNDING_KEYWORDS) + r"\b"      # word bounded (Q19)
 
 # Period phrase / unit → canonical period name.
 _PERIOD_NAME = {}
@@ -152,9 +152,15 @@ def standardize_currency(token: Column) -> Column:
 GROUP_NAMES = ["lead", "cur1", "n1", "u1", "cur1s", "cur2", "n2", "u2", "cur3", "per"]
 
 
+def _keep_sentence_lower(low: Column) -> Column:
+    """Salary keyword as a substring (byte search); funding words word-bounded, with the
+    regex only run when a funding word occurs as a substring at all."""
+    funding = contains_any(low, R.FUNDING_KEYWORDS) & low.rlike(_FUNDING_SENT)
+    return contains_any(low, R.SALARY_KEYWORDS) & ~funding
+
+
 def _keep_sentence(s: Column) -> Column:
-    low = F.lower(s)
-    return low.rlike(_SALARY_SENT) & ~low.rlike(_FUNDING_SENT)
+    return _keep_sentence_lower(F.lower(s))
 
 
 def match_strings(sentences: Column, kept: Column) -> Column:
@@ -234,7 +240,10 @@ def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
     """
     p = f"_{out}_"
     df = df.withColumn(p + "sents", F.split(text, SENTENCE_SPLIT))
-    df = df.withColumn(p + "kept", F.filter(F.col(p + "sents"), _keep_sentence))
+    # one lower-case pass per text; the keep mask is positional, the regex runs on original case
+    low = F.split(F.lower(text), SENTENCE_SPLIT)
+    mask = F.transform(low, _keep_sentence_lower)
+    df = df.withColumn(p + "kept", F.filter(F.col(p + "sents"), lambda s, i: F.element_at(mask, i + 1)))
     df = df.withColumn(p + "matches", match_strings(F.col(p + "sents"), F.col(p + "kept")))
     df = df.withColumn(p + "groups", match_groups(F.col(p + "matches")))
     df = df.withColumn(p + "parsed", parse_groups(F.col(p + "groups")))

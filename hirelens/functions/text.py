@@ -69,7 +69,14 @@ def safe_double(c: ColumnOrName) -> Column:
 
 
 def contains_any(text: Column, words: list[str]) -> Column:
-    """Plain substring test against a fixed word list (byte search per word, no regex)."""
+    """Plain substring test against a fixed word list.
+
+    Up to three words: byte searches (``contains``).  Longer lists: one
+    prefix-trie regex, which keeps the expression (and generated code) small.
+    """
+    if len(words) > 3:
+        from hirelens.functions.trie import trie_regex
+        return text.rlike(trie_regex(words))
     cond = None
     for w in words:
         c = text.contains(w)

@@ -289,3 +289,14 @@ def exclude_not_specified(df: DataFrame, col: str) -> DataFrame:
     return df.where(~F.coalesce(F.lower(F.col(col)).contains("not specified"), F.lit(False)))
 
 
+
+
+# ---------------------------------------------------------------- P12 / P13
+def columns_like(df: DataFrame, fragment: str) -> list[str]:
+    """Column names containing ``fragment`` (schema only, no job)."""
+    return [c for c in df.columns if fragment in c]
+
+
+def for_display(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Rename columns for presentation."""
+    return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})

@@ -199,23 +199,31 @@ def _bronze(spark, d):
     return T.bronze_postings(spark, d)
 
 
+def _lowered(spark, d):
+    """Bronze with the lower-cased, normalised texts materialised once per row."""
+    from hirelens.functions.text import normalize_text
+    b = _bronze(spark, d).withColumns({
+        "_t": F.lower(normalize_text("title")), "_d": F.lower(normalize_text("description")),
+        "_h": F.lower(normalize_text("header_text"))})
+    return b.withColumn("_td", F.concat_ws(" ", "_t", "_d"))
+
+
 @register("extract_experience", E + "SELECT id, experience_level FROM exp_postings")
 def extract_experience(spark, d):
-    b = _bronze(spark, d)
-    return b.select("id", X.experience_level("title", "description").alias("experience_level"))
+    b = _lowered(spark, d)
+    return b.select("id", X.experience_level("_t", "_d", normalized=True).alias("experience_level"))
 
 
 @register("extract_work_type", E + "SELECT id, work_type FROM exp_postings")
 def extract_work_type(spark, d):
-    b = _bronze(spark, d)
-    return b.select("id", X.work_type_with_header("header_text", "title", "description").alias("work_type"))
+    b = _lowered(spark, d)
+    return b.select("id", X.header_first_of(X.work_type_of, "_h", "_td").alias("work_type"))
 
 
 @register("extract_employment_type", E + "SELECT id, employment_type FROM exp_postings")
 def extract_employment_type(spark, d):
-    b = _bronze(spark, d)
-    return b.select("id", X.employment_type_with_header("header_text", "title", "description")
-                    .alias("employment_type"))
+    b = _lowered(spark, d)
+    return b.select("id", X.header_first_of(X.employment_type_of, "_h", "_td").alias("employment_type"))
 
 
 @register("extract_country", E + "SELECT id, location, country FROM exp_postings")

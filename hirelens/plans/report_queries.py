@@ -331,3 +331,23 @@ def salary_box_by_country(spark, d):
     b = Q.box_stats(silver(spark, d), "country")
     return b.select("country", *[money(c) for c in ["min", "q1", "median", "q3", "max"]], "n",
                     money("lower_whisker"), money("upper_whisker"))
+
+
+DISPLAY_NAMES = {
+    "min_salary_annual_usd": "Min Salary (USD)", "max_salary_annual_usd": "Max Salary (USD)",
+    "avg_salary_annual_usd": "Average Salary (USD)", "salary_confidence": "Salary Confidence",
+    "salary_period": "Salary Period",
+}
+
+
+@register("salary_columns_display", E + f"""
+SELECT id, has_salary, min_salary_raw, max_salary_raw, single_salary_raw, salary_period AS "Salary Period",
+       {m2('min_salary_annual_usd')} AS "Min Salary (USD)", {m2('max_salary_annual_usd')} AS "Max Salary (USD)",
+       {m2('avg_salary_annual_usd')} AS "Average Salary (USD)", salary_confidence AS "Salary Confidence"
+FROM exp_postings""")
+def salary_columns_display(spark, d):
+    """P13 + P12: every column whose name mentions 'salary', renamed for display."""
+    s = silver(spark, d)
+    cols = Q.columns_like(s, "salary")
+    out = s.select("id", *[money(c) if c.endswith("_usd") else F.col(c) for c in cols])
+    return Q.for_display(out, DISPLAY_NAMES)

@@ -11,7 +11,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "hirelens") -> SparkSession:
+                  app_name: str = "hirelens", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with AQE on and the UI off.
 
     On a cluster, ``master`` is left to spark-submit; ``shuffle_partitions`` then
@@ -34,6 +34,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # Dimension tables here are tiny; anything above this stays a shuffle join.
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     }
+    conf.update(extra_conf or {})
     for k, v in conf.items():
         b = b.config(k, v)
     if master and master.startswith("local"):

@@ -12,7 +12,10 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from hirelens.session import build_session, checkpoint_dir
-    s = build_session("local[4]", shuffle_partitions=8, app_name="hirelens-tests")
+    import tempfile
+    warehouse = tempfile.mkdtemp(prefix="hirelens-warehouse-")
+    s = build_session("local[4]", shuffle_partitions=8, app_name="hirelens-tests",
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
     checkpoint_dir(s)
     yield s
     s.stop()

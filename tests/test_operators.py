@@ -50,3 +50,24 @@ def test_anti_join_new_rows(spark):
     old = spark.createDataFrame([("a",), (None,)], "link string")
     new = spark.createDataFrame([("a",), ("b",), (None,)], "link string")
     assert sorted(r.link or "" for r in merge.new_rows(new, old).collect()) == ["", "b"]
+
+
+def test_load_tables_idempotent(spark):
+    from hirelens.sources.catalog import load_tables
+    skills = spark.createDataFrame([("sql", 3), ("python", 2)], "skill string, frequency long")
+    spark.sql("DROP TABLE IF EXISTS default.skills_t")
+    load_tables(spark, {"skills_t": skills}, {"skills_t": ["skill"]})
+    load_tables(spark, {"skills_t": skills}, {"skills_t": ["skill"]})
+    rows = sorted(tuple(r) for r in spark.table("default.skills_t").collect())
+    assert rows == [("python", 2), ("sql", 3)]
+    newer = spark.createDataFrame([("sql", 5)], "skill string, frequency long")
+    load_tables(spark, {"skills_t": newer}, {"skills_t": ["skill"]})
+    assert sorted(tuple(r) for r in spark.table("default.skills_t").collect()) == [("python", 2), ("sql", 5)]
+
+
+def test_rates_source(spark):
+    from hirelens.sources.files import read_rates
+    rates = {r.code: r.rate for r in read_rates(spark).collect()}
+    assert rates["USD"] == 1.0 and rates["EUR"] == 0.8 and len([k for k in rates if k == "USD"]) == 1
+    missing = {r.code: r.rate for r in read_rates(spark, "/nonexistent/rates.json").collect()}
+    assert missing == {"USD": 1.0}
