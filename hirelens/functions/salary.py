@@ -169,22 +169,32 @@ def match_strings(sentences: Column, kept: Column) -> Column:
     return F.flatten(F.transform(pool, lambda s: F.regexp_extract_all(s, F.lit(MASTER), 0)))
 
 
+_SEP = "\u0001"
+# One regex execution per match: the anchored pattern re-matches the whole match
+# string and is replaced by its ten groups joined with a separator (a group that
+# did not take part contributes nothing), which is then split.
+_GROUPS_TEMPLATE = _SEP.join(f"${i + 1}" for i in range(len(GROUP_NAMES)))
+_GI = {n: i for i, n in enumerate(GROUP_NAMES)}
+
+
 def match_groups(matches: Column) -> Column:
-    """Each match string → struct of its ten capture groups ('' when absent)."""
-    return F.transform(matches, lambda m: F.struct(
-        *[F.regexp_extract(m, ANCHORED, i + 1).alias(n) for i, n in enumerate(GROUP_NAMES)]))
+    """Each match string → array of its ten capture groups ('' when absent), in GROUP_NAMES order."""
+    return F.transform(matches, lambda m: F.split(F.regexp_replace(m, ANCHORED, _GROUPS_TEMPLATE), _SEP, -1))
+
 
+def _parse(a: Column) -> Column:
+    def g(name: str) -> Column:
+        return a[_GI[name]]
 
-def _parse(g: Column) -> Column:
-    token = (F.when(g["cur1"] != "", g["cur1"]).when(g["cur1s"] != "", g["cur1s"])
-             .when(g["cur2"] != "", g["cur2"]).when(g["cur3"] != "", g["cur3"]))
+    token = (F.when(g("cur1") != "", g("cur1")).when(g("cur1s") != "", g("cur1s"))
+             .when(g("cur2") != "", g("cur2")).when(g("cur3") != "", g("cur3")))
     return F.struct(
         token.alias("currency_token"),
-        parse_amount(g["n1"]).alias("v1"),
-        parse_amount(g["n2"]).alias("v2"),
-        (g["n2"] != "").alias("is_range"),
-        F.coalesce(period_name(g["per"]), period_name(g["u2"]), period_name(g["u1"])).alias("period"),
-        (token.isNotNull() | (g["lead"] != "")).alias("qualified"),
+        parse_amount(g("n1")).alias("v1"),
+        parse_amount(g("n2")).alias("v2"),
+        (g("n2") != "").alias("is_range"),
+        F.coalesce(period_name(g("per")), period_name(g("u2")), period_name(g("u1"))).alias("period"),
+        (token.isNotNull() | (g("lead") != "")).alias("qualified"),
     )
 
 
