@@ -238,7 +238,7 @@ def best_candidate(cands: Column) -> Column:
     return F.when(F.size(cands) > 0, F.array_max(scored)["c"])
 
 
-_STEPS = ["sents", "kept", "matches", "groups", "parsed", "cands"]
+_STEPS = ["sents", "mask", "kept", "matches", "groups", "parsed", "cands"]
 
 
 def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
@@ -250,10 +250,10 @@ def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
     """
     p = f"_{out}_"
     df = df.withColumn(p + "sents", F.split(text, SENTENCE_SPLIT))
-    # one lower-case pass per text; the keep mask is positional, the regex runs on original case
-    low = F.split(F.lower(text), SENTENCE_SPLIT)
-    mask = F.transform(low, _keep_sentence_lower)
-    df = df.withColumn(p + "kept", F.filter(F.col(p + "sents"), lambda s, i: F.element_at(mask, i + 1)))
+    # one lower-case pass per text; the keep mask is positional and is its own column,
+    # so the filter lambda reads it instead of recomputing it for every sentence
+    df = df.withColumn(p + "mask", F.transform(F.split(F.lower(text), SENTENCE_SPLIT), _keep_sentence_lower))
+    df = df.withColumn(p + "kept", F.filter(F.col(p + "sents"), lambda s, i: F.element_at(F.col(p + "mask"), i + 1)))
     df = df.withColumn(p + "matches", match_strings(F.col(p + "sents"), F.col(p + "kept")))
     df = df.withColumn(p + "groups", match_groups(F.col(p + "matches")))
     df = df.withColumn(p + "parsed", parse_groups(F.col(p + "groups")))
