@@ -260,7 +260,7 @@ def dense_matrix(pairs: DataFrame, row: str, col: str, value: str, rows: DataFra
 def top_k_per_group(pairs: DataFrame, group: list[str], item: str, weight: str, k: int) -> DataFrame:
     """The ``k`` heaviest items per group (ties by item), ranked over aggregated rows."""
     w = Window.partitionBy(*group).orderBy(F.col(weight).desc(), F.col(item))
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return pairs.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def skill_counts_by(silver: DataFrame, group: list[str]) -> DataFrame:

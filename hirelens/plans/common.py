@@ -25,7 +25,7 @@ def money(c: str | Column, name: str | None = None) -> Column:
 
 def m2(expr: str) -> str:
     """SQL twin of :func:`money`."""
-    return f"(floor(({expr}) * 100 + 0.5) / 100)"
+    return f"CAST(floor(({expr}) * 100 + 0.5) / 100 AS DOUBLE)"
 
 
 _SILVER: dict[tuple[int, str], str] = {}

@@ -108,8 +108,8 @@ exp_postings AS (
            CASE WHEN single_raw * divisor / rate <= {R.MAX_ANNUAL_USD!r} THEN single_raw * divisor / rate END
     END AS avg_salary_annual_usd,
     CASE WHEN min_raw IS NULL AND max_raw IS NULL AND single_raw IS NULL THEN NULL
-         ELSE round(least(1.0, 0.5 + CASE WHEN min_raw IS NOT NULL AND max_raw IS NOT NULL THEN 0.3 ELSE 0 END
-                   + 0.1 + CASE WHEN period IS NOT NULL THEN 0.1 ELSE 0 END), 4) END AS salary_confidence,
+         ELSE CAST(round(least(1.0, 0.5 + CASE WHEN min_raw IS NOT NULL AND max_raw IS NOT NULL THEN 0.3 ELSE 0 END
+                   + 0.1 + CASE WHEN period IS NOT NULL THEN 0.1 ELSE 0 END), 4) AS DOUBLE) END AS salary_confidence,
     CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Senior'
          WHEN o_orderpriority = '5-LOW' THEN 'Entry-Level'
          WHEN o_orderpriority = '3-MEDIUM' THEN

@@ -50,6 +50,38 @@ def frame_hash(df: pd.DataFrame) -> tuple[int, list[str], str]:
     return len(rows), cols, hashlib.sha256("\n".join(rows).encode()).hexdigest()
 
 
+def _spark_class(t: str) -> str:
+    t = t.lower()
+    for k, v in (("bigint", "int64"), ("long", "int64"), ("int", "int32"), ("smallint", "int16"), ("double", "float64"),
+                 ("float", "float32"), ("decimal", "decimal"), ("string", "str"), ("boolean", "bool"),
+                 ("timestamp", "timestamp"), ("date", "date"), ("array", "list")):
+        if t.startswith(k):
+            return v
+    return t
+
+
+def _duck_class(t: str) -> str:
+    t = t.upper()
+    for k, v in (("BIGINT", "int64"), ("HUGEINT", "int128"), ("INTEGER", "int32"), ("SMALLINT", "int16"),
+                 ("DOUBLE", "float64"), ("FLOAT", "float32"), ("DECIMAL", "decimal"), ("VARCHAR", "str"),
+                 ("BOOLEAN", "bool"), ("TIMESTAMP", "timestamp"), ("DATE", "date")):
+        if t.startswith(k):
+            return v
+    return "list" if t.endswith("[]") else t.lower()
+
+
+def type_mismatches(spark_schema, rel) -> dict:
+    """Column type classes that differ between the Spark schema and the DuckDB result."""
+    duck_types = {d[0]: _duck_class(str(d[1])) for d in rel.description}
+    out = {}
+    for f in spark_schema.fields:
+        s = _spark_class(f.dataType.simpleString())
+        d = duck_types.get(f.name)
+        if d is not None and d != s:
+            out[f.name] = (s, d)
+    return out
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -83,7 +115,10 @@ def compare(spark, sf_dir: str, names: list[str] | None = None, verbose: bool =
             print(name, "SQL ERROR", str(e)[:800])
             continue
         a, b = frame_hash(sdf), frame_hash(ddf)
-        ok = a == b
+        types = type_mismatches(qs[name](spark, sf_dir).schema, con.execute(sql[name]))
+        ok = a == b and not types
+        if types and verbose:
+            print(f"   type mismatches: {types}")
         results[name] = ("ok" if ok else "MISMATCH", a[0], b[0])
         if verbose:
             print(f"{name}: {'ok' if ok else 'MISMATCH'} spark={a[0]} rows {a[1]} duck={b[0]} rows {b[1]} ({ts:.1f}s)")
