@@ -54,5 +54,10 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+def forget_silver() -> None:
+    """Drop the per-session silver memo (call before ``drop_staged``)."""
+    _SILVER.clear()
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return T.read(spark, sf_dir, name)

@@ -63,7 +63,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-path of the shared checkpoint folder."""
+    """A fresh sub-path of the shared checkpoint folder (remembered for ``drop_staged``)."""
     import uuid
-    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    SCRATCH.append(path)
+    return path

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from hirelens.session import scratch_path
+from hirelens.session import SCRATCH, scratch_path
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -24,3 +24,20 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_staged(spark) -> int:
+    """Delete the scratch folders this process created (Hadoop FileSystem, so it works on the shared folder).
+
+    Call it when the queries reading them have finished; returns how many were removed.
+    """
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    removed = 0
+    while SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(SCRATCH.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            removed += 1
+    return removed

@@ -18,4 +18,8 @@ def spark():
                       extra_conf={"spark.sql.warehouse.dir": warehouse})
     checkpoint_dir(s)
     yield s
+    from hirelens.plans.common import forget_silver
+    from hirelens.sources.tables import drop_staged
+    forget_silver()
+    drop_staged(s)
     s.stop()
