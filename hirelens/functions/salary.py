@@ -27,14 +27,6 @@ from hirelens import refdata as R
 from hirelens.functions.text import ColumnOrName, col, contains_any, normalize_text
 
 
-def _token_regex(token: str) -> str:
-    """Escape a vocabulary token; alphabetic edges must not touch other letters."""
-    out = re.escape(token)
-    if token[:1].isalpha():
-        out = r"(?<!\p{L})" + out
-    if token[-1:].isalpha():
-        out = out + r"(?!\p{L})"
-    return out
 
 
 # Alphabetic token edges must not touch other letters: checked once around the trie.

@@ -38,9 +38,6 @@ def _maybe(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
-def rates_frame(spark, rates: dict[str, float] | None = None) -> DataFrame:
-    rates = rates if rates is not None else R.synthetic_rates()
-    return spark.createDataFrame([(k, float(v)) for k, v in rates.items()], "code string, rate double")
 
 
 def annualize(df: DataFrame, rates: dict[str, float] | DataFrame | None = None) -> DataFrame:
@@ -127,14 +124,17 @@ def reextract_salary(silver: DataFrame, rates=None, header_needs_keyword: bool =
     return annualize(df, rates)
 
 
-def fill_missing_salary(df: DataFrame, fallback: DataFrame) -> DataFrame:
-    """Take the fallback's salary columns only where ``has_salary`` is false.
+def fill_missing_salary(df: DataFrame, fallback_prefix: str = "fb_") -> DataFrame:
+    """Masked update without a join.
 
-    ``fallback`` is a row-aligned projection of ``df`` (same rows, computed
-    from another source), so this is a per-row ``when``, not a join.
+    The fallback results are columns of the same rows (``<prefix><column>``,
+    e.g. from a second extraction pass); they replace the salary columns only
+    where ``has_salary`` is false, and are dropped afterwards.
     """
     keep = F.coalesce(F.col("has_salary"), F.lit(False))
-    return df.withColumns({c: F.when(keep, F.col(c)).otherwise(fallback[c]) for c in SALARY_COLUMNS})
+    fb = [c for c in SALARY_COLUMNS if fallback_prefix + c in df.columns]
+    out = df.withColumns({c: F.when(keep, F.col(c)).otherwise(F.col(fallback_prefix + c)) for c in fb})
+    return out.drop(*[fallback_prefix + c for c in fb])
 
 
 def reextract_skills(silver: DataFrame) -> DataFrame:

@@ -71,3 +71,27 @@ def test_rates_source(spark):
     assert rates["USD"] == 1.0 and rates["EUR"] == 0.8 and len([k for k in rates if k == "USD"]) == 1
     missing = {r.code: r.rate for r in read_rates(spark, "/nonexistent/rates.json").collect()}
     assert missing == {"USD": 1.0}
+
+
+def test_fill_missing_salary_only_where_missing(spark):
+    from hirelens.operators.enrich import SALARY_COLUMNS, fill_missing_salary
+    base = {c: None for c in SALARY_COLUMNS}
+    rows = [dict(base, id=1, has_salary=True, currency_raw="USD"), dict(base, id=2, has_salary=False)]
+    schema = "id int, has_salary boolean, currency_raw string, min_salary_raw double, max_salary_raw double, " \
+             "single_salary_raw double, salary_period string, min_salary_annual_usd double, " \
+             "max_salary_annual_usd double, avg_salary_annual_usd double, salary_confidence double"
+    df = spark.createDataFrame([[r[c.split()[0]] for c in schema.split(", ")] for r in rows], schema)
+    with_fb = df.withColumns({"fb_has_salary": F.lit(True), "fb_currency_raw": F.lit("EUR")})
+    filled = fill_missing_salary(with_fb)
+    assert "fb_currency_raw" not in filled.columns
+    out = {r.id: r for r in filled.collect()}
+    assert out[1].currency_raw == "USD" and out[2].currency_raw == "EUR" and out[2].has_salary
+
+
+def test_observe_dropped_counts(spark):
+    from pyspark.sql import Observation  # noqa: F401  (API check)
+    from hirelens.operators.clean import drop_obfuscated_rows, observe_dropped
+    df = spark.createDataFrame([("a", "x"), ("**", None), (None, "  ")], "location string, company string")
+    observed = observe_dropped(df, ["location", "company"], "obf_metrics")
+    kept = drop_obfuscated_rows(observed, ["location", "company"])
+    assert kept.count() == 1
