@@ -38,3 +38,17 @@ def test_topk_plans_take_ordered(spark):
     import __spark_entry__ as E
     plan = E.queries()["recent_companies"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def _formatted_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_scans_are_pruned_and_pushed(spark):
+    import __spark_entry__ as E
+    plan = _formatted_plan(E.queries()["salary_skill_stats"](spark, SF))
+    # the gold scan reads the skill arrays and the salary, never the raw text columns
+    assert "ReadSchema" in plan or "FileScan" in plan
+    assert "description" not in plan and "title" not in plan
+    plan = _formatted_plan(E.queries()["merge_keep_first"](spark, SF))
+    assert "LessThan(o_orderdate" in plan and "GreaterThanOrEqual(o_orderdate" in plan
