@@ -95,3 +95,14 @@ def test_observe_dropped_counts(spark):
     observed = observe_dropped(df, ["location", "company"], "obf_metrics")
     kept = drop_obfuscated_rows(observed, ["location", "company"])
     assert kept.count() == 1
+
+
+def test_dedupe_hot_key(spark):
+    # one link holds a third of all rows; keep-last must pick its highest (batch, seq) row
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string")))
+        .alias("link"), F.col("id").alias("v"), F.col("id").alias(merge.SEQ), (F.col("id") % 2).cast("int").alias(merge.BATCH))
+    out = {r.link: r.v for r in merge.dedupe(df, ["link"], "last").collect()}
+    assert out["hot"] == 29997 and len(out) == 998  # last multiple of 3 with batch 1 (odd id)
+    plan = merge.dedupe(df, ["link"], "last")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan  # partial aggregation, not a row_number over the hot key
