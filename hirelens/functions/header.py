@@ -18,6 +18,8 @@ BADGE_CLASS = "tvm__text--low-emphasis"
 HIDDEN_CLASS = "visually-hidden"
 JOB_TYPE_MARKER = "job type is"
 WORK_TYPE_BADGES = ["hybrid", "remote", "onsite"]
+# Fixed value: the job site whose pages carry those badges (other sites get the S11 fallback).
+BADGE_SITE = "linkedin.com"
 
 
 def page_title(html: Column) -> Column:
@@ -42,5 +44,5 @@ def page_header(html: Column) -> Column:
 def fallback_header(link: Column, title: Column, description: Column) -> Column:
     """For links of other sites, 'title | description'; non-http links → null."""
     return (F.when(link.isNull() | ~link.startswith("http"), F.lit(None).cast("string"))
-            .when(link.contains("linkedin.com"), F.lit(None).cast("string"))
+            .when(link.contains(BADGE_SITE), F.lit(None).cast("string"))
             .otherwise(F.concat_ws(" | ", title, description)))

@@ -8,7 +8,7 @@ from hirelens import refdata as R
 from hirelens.functions import location as G
 from hirelens.functions import roles as X
 from hirelens.functions import salary as L
-from hirelens.functions.header import fallback_header, page_header, page_title
+from hirelens.functions.header import BADGE_SITE, fallback_header, page_header, page_title
 from hirelens.functions.skills import extract_skills
 from hirelens.functions.text import is_obfuscated, join_list, parse_list
 from hirelens.operators import clean, merge
@@ -291,7 +291,7 @@ def salary_currency_fallback(spark, d):
 SELECT page_id, nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), '') AS title,
        CAST(NULL AS VARCHAR) AS header_text,
        CASE WHEN NOT starts_with(url, 'http') THEN NULL
-            WHEN contains(url, 'linkedin.com') THEN NULL
+            WHEN contains(url, '""" + BADGE_SITE + r"""') THEN NULL
             ELSE concat_ws(' | ', nullif(regexp_extract(html, '<title>([^<]*)</title>', 1), ''),
                            nullif(regexp_extract(html, '<p>([^<]*)</p>', 1), '')) END AS fallback_header
 FROM pages""")
