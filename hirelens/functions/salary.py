@@ -26,9 +26,6 @@ from hirelens.functions.trie import trie_regex
 from hirelens import refdata as R
 from hirelens.functions.text import ColumnOrName, col, contains_any, normalize_text
 
-
-
-
 # Alphabetic token edges must not touch other letters: checked once around the trie.
 _ALPHA_START = r"(?:(?=\p{L})(?<!\p{L})|(?!\p{L}))"
 _ALPHA_END = r"(?:(?<=\p{L})(?!\p{L})|(?<!\p{L}))"
@@ -60,8 +57,7 @@ MASTER = (
     rf"(?:(?:\s?({CUR_SUFFIX}))?\s*{DASH}\s*(?:({CUR_PREFIX})\s?)?({NUM})({UNIT})?)?"
     rf"(?:\s?({CUR_SUFFIX}))?(?:\s*({PERIOD}))?"
 )
-ANCHORED = "^" + MASTER.replace("(?iu)", "", 1)
-ANCHORED = "(?iu)" + ANCHORED
+ANCHORED = "(?iu)^" + MASTER.replace("(?iu)", "", 1)  # the same pattern, matched from the start
 
 SENTENCE_SPLIT = r"(?<=[.!?])\s+"
 _SALARY_SENT = trie_regex(R.SALARY_KEYWORDS)                       # substring semantics
