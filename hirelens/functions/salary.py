@@ -15,16 +15,14 @@ Conversion to annual USD needs the rates table and lives in
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.functions.literals import lit_array, lit_map
+from hirelens.functions.literals import lit_map
 from hirelens.functions.trie import trie_regex
 
 from hirelens import refdata as R
-from hirelens.functions.text import ColumnOrName, col, contains_any, normalize_text
+from hirelens.functions.text import ColumnOrName, contains_any, normalize_text
 
 # Alphabetic token edges must not touch other letters: checked once around the trie.
 _ALPHA_START = r"(?:(?=\p{L})(?<!\p{L})|(?!\p{L}))"

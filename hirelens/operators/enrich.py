@@ -15,7 +15,7 @@ from hirelens import refdata as R
 from hirelens.functions import location as G
 from hirelens.functions import roles as X
 from hirelens.functions import salary as L
-from hirelens.functions.skills import extract_skills, extract_skills_from_found, keywords_found
+from hirelens.functions.skills import extract_skills_from_found, keywords_found
 from hirelens.functions.literals import lit_map
 from hirelens.functions.text import all_obfuscated, normalize_text
 from hirelens.operators.util import broadcast_if_small

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hirelens import refdata as R
 from hirelens.operators import gold
 from hirelens.operators import reports as Q
 from hirelens.plans.common import m2, money, silver
@@ -307,8 +306,6 @@ def distinct_levels_max_salary(spark, d):
             .agg(money(F.max("avg_salary_annual_usd"), "max_salary")))
 
 
-__all__ = ["R"]
-
 
 @register("suppressed_levels", E + """
 , l(experience_level) AS (VALUES ('Entry-Level'), ('Mid-Level'), ('Senior')),

@@ -19,7 +19,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hirelens.operators import merge
 
@@ -75,4 +74,4 @@ def merge_stream(spark: SparkSession, incoming: str, schema, table: VersionedTab
     return table.current()
 
 
-__all__ = ["VersionedTable", "merge_stream", "F"]
+__all__ = ["VersionedTable", "merge_stream"]
