@@ -397,3 +397,17 @@ def missing_salary_rows(spark, d):
     """Postings whose salary is missing."""
     from hirelens.plans.common import silver
     return silver(spark, d).where(F.col("avg_salary_annual_usd").isNull()).select("id", "title")
+
+
+@register("stream_merge_keep_last", _merge_sql("DESC", "max"))
+def stream_merge_keep_last(spark, d):
+    """U2 through Structured Streaming: the newer batch replaces rows with the same key."""
+    from hirelens.session import scratch_path
+    from hirelens.streaming.ingest import VersionedTable, merge_stream
+    old, new = _batches(spark, d)
+    root = scratch_path(spark, "stream-merge-last")
+    master = VersionedTable(spark, f"{root}/master")
+    master.commit(merge.dedupe(old, ["link"], "last"))
+    new.write.mode("overwrite").parquet(f"{root}/incoming")
+    out = merge_stream(spark, f"{root}/incoming", new.schema, master, f"{root}/checkpoint", ["link"], "last")
+    return _out(out)
