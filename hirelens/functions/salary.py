@@ -95,14 +95,20 @@ def period_multiplier(period: Column) -> Column:
 
 
 def parse_amount(s: Column) -> Column:
-    """L11: '12,00,000' / '50.000,50' / '$1.5M' style token → double (null when unparsable)."""
+    """L11: '12,00,000' / '50.000,50' / '$1.5M' style token → double (null when unparsable).
+
+    The last separator followed by one or two digits is the decimal point, any
+    other separator groups thousands (Q3).  Written with two regex operations
+    and plain substring arithmetic, because it runs inside a lambda where
+    repeated sub-expressions are not shared.
+    """
     raw = F.regexp_replace(s, r"\s", "")
-    suffix = F.lower(F.regexp_extract(raw, r"([kKmM])$", 1))
-    mult = F.when(suffix == "k", F.lit(1e3)).when(suffix == "m", F.lit(1e6)).otherwise(F.lit(1.0))
-    digits = F.regexp_replace(raw, r"[kKmM]$", "")
+    last = F.lower(F.substring(raw, -1, 1))
+    mult = F.when(last == "k", F.lit(1e3)).when(last == "m", F.lit(1e6)).otherwise(F.lit(1.0))
+    digits = F.when(last.isin("k", "m"), F.substring(raw, F.lit(1), F.length(raw) - 1)).otherwise(raw)
     dec = F.regexp_extract(digits, r"[.,](\d{1,2})$", 1)
-    whole = F.regexp_replace(F.regexp_replace(digits, r"[.,]\d{1,2}$", ""), r"[.,]", "")
-    whole = F.when(dec != "", whole).otherwise(F.regexp_replace(digits, r"[.,]", ""))
+    bare = F.regexp_replace(digits, r"[.,]", "")
+    whole = F.substring(bare, F.lit(1), F.length(bare) - F.length(dec))
     number = F.concat(whole, F.lit("."), F.when(dec != "", dec).otherwise(F.lit("0")))
     return F.when(raw != "", number.try_cast("double") * mult)
 
