@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hirelens import refdata as R
 from hirelens.functions.skills import all_skills
-from hirelens.operators.quantiles import exact_percentiles
+from hirelens.operators.quantiles import percentiles
 
 
 def job_skills(silver: DataFrame, extra: list[str] | None = None, cols: list[str] | None = None) -> DataFrame:
@@ -38,7 +38,7 @@ def skills(silver: DataFrame) -> DataFrame:
     return job_skills(silver).groupBy("skill").agg(F.count(F.lit(1)).alias("frequency"))
 
 
-def companies(silver: DataFrame) -> DataFrame:
+def companies(silver: DataFrame, approx: bool = False) -> DataFrame:
     """A3: per non-null company: job count (non-null ids), median avg salary, modal country.
 
     Modal country ties go to the smallest value; a company with no salaries
@@ -49,7 +49,8 @@ def companies(silver: DataFrame) -> DataFrame:
         F.count("id").alias("job_count"),
         F.mode("country", deterministic=True).alias("country"),
     )
-    med = exact_percentiles(base, ["company"], "avg_salary_annual_usd", [0.5], ["median_salary"], count_name=None)
+    med = percentiles(base, ["company"], "avg_salary_annual_usd", [0.5], ["median_salary"], count_name=None,
+                      approx=approx)
     return counts.join(med, "company", "left").select("company", "job_count", "median_salary", "country")
 
 
@@ -64,17 +65,18 @@ def experience_skill_counts(silver: DataFrame) -> DataFrame:
             .groupBy("experience_level", "skill").agg(F.count(F.lit(1)).alias("count")))
 
 
-def salary_skill_stats(silver: DataFrame) -> DataFrame:
+def salary_skill_stats(silver: DataFrame, approx: bool = False) -> DataFrame:
     """p25 / median / p75 / count of avg annual USD per skill.
 
     Each job counts once per skill (membership), null salaries are ignored and
     skills without any salary are omitted; percentiles interpolate linearly.
+    ``approx=True`` switches to ``percentile_approx`` (no interpolation).
     """
     per_job = (silver.where(F.col("avg_salary_annual_usd").isNotNull())
                .select("avg_salary_annual_usd", F.explode(F.array_distinct(all_skills())).alias("skill"))
                .where(F.col("skill") != ""))
-    return exact_percentiles(per_job, ["skill"], "avg_salary_annual_usd", [0.25, 0.5, 0.75],
-                             ["p25", "median", "p75"], count_name="count")
+    return percentiles(per_job, ["skill"], "avg_salary_annual_usd", [0.25, 0.5, 0.75],
+                       ["p25", "median", "p75"], count_name="count", approx=approx)
 
 
 def job_postings(silver: DataFrame, clusters: DataFrame | None = None) -> DataFrame:

@@ -106,3 +106,12 @@ def test_dedupe_hot_key(spark):
     assert out["hot"] == 29997 and len(out) == 998  # last multiple of 3 with batch 1 (odd id)
     plan = merge.dedupe(df, ["link"], "last")._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan  # partial aggregation, not a row_number over the hot key
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    from hirelens.operators.quantiles import percentiles
+    df = spark.range(0, 20000).select((F.col("id") % 3).cast("string").alias("k"), (F.rand(3) * 1000).alias("v"))
+    ex = {r.k: r for r in percentiles(df, ["k"], "v", [0.5], ["p50"]).collect()}
+    ap = {r.k: r for r in percentiles(df, ["k"], "v", [0.5], ["p50"], approx=True).collect()}
+    for k in ex:
+        assert abs(ex[k].p50 - ap[k].p50) < 5.0 and ex[k]["count"] == ap[k]["count"]
