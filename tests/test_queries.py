@@ -11,7 +11,8 @@ from oracle_compare import compare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 CHECKED = ["salary_skill_stats", "silver_postings", "company_summary", "skill_cooccurrence", "merge_keep_first",
-           "merge_keep_last", "extract_salary", "experience_ci95", "top_skills_per_country", "country_skill_pivot"]
+           "merge_keep_last", "extract_salary", "experience_ci95", "top_skills_per_country", "country_skill_pivot",
+           "stream_merge_keep_first", "stream_merge_keep_last", "bronze_csv_roundtrip"]
 
 
 def test_entry_runs(spark):
