@@ -115,3 +115,17 @@ def test_approx_percentiles_close_to_exact(spark):
     ap = {r.k: r for r in percentiles(df, ["k"], "v", [0.5], ["p50"], approx=True).collect()}
     for k in ex:
         assert abs(ex[k].p50 - ap[k].p50) < 5.0 and ex[k]["count"] == ap[k]["count"]
+
+
+def test_hot_key_spans_several_range_partitions(spark):
+    """The percentile operator's staged range table splits a hot key over many partitions."""
+    from hirelens.operators import quantiles
+    from hirelens.session import SCRATCH
+    df = spark.range(0, 60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("k"),
+        (F.col("id") * 7 % 100003).cast("double").alias("v"))
+    before = len(SCRATCH)
+    quantiles.exact_percentiles(df, ["k"], "v", [0.5], ["p50"]).collect()
+    staged = [p for p in SCRATCH[before:] if "quantile-ranges" in p][0]
+    pids = spark.read.parquet(staged).where(F.col("k") == "hot").select("_pid").distinct().count()
+    assert pids > 1, pids
