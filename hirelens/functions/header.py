@@ -29,7 +29,7 @@ def page_title(html: Column) -> Column:
 def page_header(html: Column) -> Column:
     badges = F.regexp_extract_all(
         html, F.lit(rf'<span[^>]*class="[^"]*{BADGE_CLASS}[^"]*"[^>]*>\s*<strong>([^<]*)</strong>'), 1)
-    badges = F.filter(F.transform(badges, F.trim), lambda x: x != "")
+    badges = F.filter(F.transform(badges, lambda x: F.trim(x)), lambda x: x != "")
     work = F.filter(badges, lambda x: F.array_contains(lit_array(WORK_TYPE_BADGES), F.lower(x)))
     job_type = F.trim(F.regexp_replace(F.regexp_extract(
         html, rf'<span[^>]*class="[^"]*{HIDDEN_CLASS}[^"]*"[^>]*>[^<]*?{JOB_TYPE_MARKER}([^<]*)', 1), r"\.", ""))

@@ -94,4 +94,4 @@ def parse_list_literal(c: ColumnOrName) -> Column:
     """K7: a Python-style list literal "['a', 'b']" → array<string> (legacy CSV cells); bad → []."""
     as_json = F.regexp_replace(col(c), r"'", '"')
     arr = F.from_json(as_json, "array<string>")
-    return F.filter(F.transform(F.coalesce(arr, F.array().cast("array<string>")), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.coalesce(arr, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")

@@ -128,3 +128,25 @@ def test_obfuscation_and_lists(spark):
     assert [r.o for r in df.select(is_obfuscated("v").alias("o")).collect()] == [True, True, True, False, False]
     l = spark.createDataFrame([(" a ; b;;c ",), (None,)], "s string")
     assert [r.j for r in l.select(join_list(parse_list("s")).alias("j")).collect()] == ["a;b;c", ""]
+
+
+def test_page_header_positive(spark):
+    from hirelens.functions.header import fallback_header, page_header
+    html = ('<div><span class="tvm__text tvm__text--low-emphasis"><strong>$110K/yr - $130K/yr</strong></span>'
+            '<span class="tvm__text--low-emphasis"><strong> Hybrid </strong></span>'
+            '<span class="visually-hidden">Matches your job preferences, job type is Full-time.</span></div>')
+    df = spark.createDataFrame([(html, "https://www.linkedin.com/jobs/1"), ("<p>x</p>", "https://example.org/j"),
+                                ("<p>x</p>", "ftp://x")], "html string, url string")
+    rows = df.select(page_header(F.col("html")).alias("h"),
+                     fallback_header(F.col("url"), F.lit("T"), F.lit("D")).alias("f")).collect()
+    assert rows[0].h == "$110K/yr - $130K/yr; Hybrid\nHybrid\nFull-time"
+    assert rows[1].h is None and rows[0].f is None and rows[1].f == "T | D" and rows[2].f is None
+
+
+def test_gazetteer_join_priority(spark):
+    from hirelens.operators.enrich import resolve_countries
+    gaz = spark.createDataFrame([("paris", "France", 1), ("paris texas", "United States", 0)],
+                                "key string, country string, priority int")
+    df = spark.createDataFrame([(1, "Paris, Texas"), (2, "Greater Paris Area"), (3, "Nowhere")], "id int, location string")
+    out = {r.id: r.country for r in resolve_countries(df, "location", gaz).collect()}
+    assert out == {1: "United States", 2: "France", 3: "Unknown"}
