@@ -129,3 +129,14 @@ def test_hot_key_spans_several_range_partitions(spark):
     staged = [p for p in SCRATCH[before:] if "quantile-ranges" in p][0]
     pids = spark.read.parquet(staged).where(F.col("k") == "hot").select("_pid").distinct().count()
     assert pids > 1, pids
+
+
+def test_merge_without_key_is_full_row_dedup(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "v int, w string")
+    b = spark.createDataFrame([(2, "y"), (3, "z"), (3, "z")], "v int, w string")
+    key = merge.pick_key(a, b)
+    assert key is None
+    out = sorted(tuple(r) for r in merge.merge_keep_first(a, b, key).collect())
+    assert out == [(1, "x"), (2, "y"), (3, "z")]
+    again = sorted(tuple(r) for r in merge.merge_keep_first(merge.merge_keep_first(a, b, key), b, key).collect())
+    assert again == out
