@@ -73,6 +73,9 @@ class Tree(HTMLParser):
         self.root = self.at = Node("html", None)
         self.depth_article = 0
 
+    def updatepos(self, i, j):  # line numbers of tags are of no use here
+        return j
+
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
             return

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import html_text, line_dedup, mixing, quality, topk, toxicity
+from hirelens.llm import html_text, line_dedup, mixing, near_dedup, quality, topk, toxicity
 from hirelens.llm.common import read_table
 
 
@@ -35,12 +35,16 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_html, op3_toxicity, op5_mixing, op7_quality, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_html, op3_toxicity, op5_mixing, op7_quality, op9_near_dedup, op10_line_dedup)}
 
 ORACLES = {
     "op1_topk": """
