@@ -10,13 +10,14 @@ registers make candidate groups.  The work is then:
    collision-corrected register estimate first, then the full shingle sets;
 3. components of the links; a group whose classes all are in one component is done;
 4. in the other groups, classes of different components are compared in blocks
-   of bounded size by their registers, and what the estimate lets pass is
-   verified on full sets; the components of all links are the result.
+   of bounded size by their registers; each one's likeliest partner is verified
+   first, which joins most components, then whatever else the estimate lets
+   pass; the components of all links are the result.
 
 Steps 2 and 4 together see every pair of different components that shares a
 band, so skipping pairs inside a component loses no document.  A pair at the
-threshold shares no band with probability 3e-7, and fails the estimate (4.5
-standard errors below the threshold) about as rarely.  Class ids have 64 bits:
+threshold shares no band with probability 3e-7, and fails the estimate (3.5
+standard errors and one register below the threshold) with 1e-4 or less.  Class ids have 64 bits:
 among 10**9 different texts, a collision is expected with probability 0.03.
 
 Cases: a text without words, or null, has no shingles and links with nothing.
@@ -45,7 +46,7 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Chance that two different minima share a register: the mantissa agrees, and the leading zeros, which have geometric odds.
 COLLISION = 2.0**-MANTISSA / 3
-ERRORS = 4.5
+ERRORS = 3.5
 BLOCK = 1024
 CACHE_WORDS = 500_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -170,8 +171,15 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
     return rows.mapInPandas(run, "doc_id long, n long, cls long, regs binary, keys array<long>")
 
 
-def least_estimate(used: np.ndarray, similarity: float) -> np.ndarray:
-    return similarity - ERRORS * np.sqrt(similarity * (1 - similarity) / np.maximum(used, 1))
+def least_estimate(used: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """The estimate below which a pair can't have the similarity.
+
+    Registers draw from the union without replacement, so where they hold nearly
+    all of a small union, the estimate is nearly exact.  ``sizes``: the sum of both sets' sizes.
+    """
+    union = np.maximum(sizes / (1 + similarity), used)
+    left = (union - used) / np.maximum(union, 1)
+    return similarity - ERRORS * np.sqrt(similarity * (1 - similarity) * left / np.maximum(used, 1)) - 1 / np.maximum(used, 1)
 
 
 def estimates(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -187,13 +195,13 @@ def plausible(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFr
     fit = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity
 
     @F.pandas_udf("boolean")
-    def passes(x: pd.Series, y: pd.Series) -> pd.Series:
+    def passes(x: pd.Series, y: pd.Series, n: pd.Series) -> pd.Series:
         to = lambda s: np.frombuffer(b"".join(s), dtype=np.uint16).reshape(len(s), -1)
         e, used = estimates(to(x), to(y))
-        return pd.Series(e >= least_estimate(used, similarity))
+        return pd.Series(e >= least_estimate(used, n.to_numpy(), similarity))
 
     joined = pairs.join(side("a"), "a").where("regs_a is not null").join(side("b"), "b").where(fit)
-    return joined.where(passes("regs_a", "regs_b")).select("a", "b")
+    return joined.where(passes("regs_a", "regs_b", F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -217,9 +225,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
     return tested.where(100 * F.col("i") >= percent * (F.size("s_a") + F.size("s_b") - F.col("i"))).select("a", "b").distinct()
 
 
-def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity: float, best: bool = False) -> DataFrame:
     """``(a, b)``: plausible pairs of different components within a candidate group, centres aside.
 
+    ``best``: for each class and cell only the likeliest partner, at most as many pairs as there are classes.
+
     Groups are cut into blocks of about BLOCK classes; each pair of blocks is a
     cell, and cells are dealt to tasks in batches.  A pair is given out only by
     the first band it shares.
@@ -249,7 +259,11 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
                 if not len(at):
                     continue
                 e, both = estimates(regs[at], regs[i])
-                at = at[e >= least_estimate(both, similarity)]
+                fits = e >= least_estimate(both, n[at] + n[i], similarity)
+                at, e = at[fits], e[fits]
+                if best and len(at):
+                    found.append(pd.DataFrame({"a": cls[i], "b": cls[at[np.argmax(e)]]}, index=[0]))
+                    continue
                 same = ((regs[at] == regs[i]).reshape(len(at), BANDS, ROWS).all(axis=2)) & used[i].reshape(BANDS, ROWS).any(axis=1)
                 at = at[same.argmax(axis=1) == band] if len(at) else at
                 found.append(pd.DataFrame({"a": cls[i], "b": cls[at]}))
@@ -270,6 +284,8 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     star = members.select(F.col("first").alias("a"), F.col("cls").alias("b")).union(members.select("cls", "last")).where("a <> b")
     star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = cut(verified(cut(plausible(star, classes, similarity), "near-star"), docs, classes, size, percent), "near-links")
+    likeliest = cut(across(members, classes, components(links), similarity, best=True).distinct(), "near-likeliest")
+    links = cut(links.union(verified(likeliest, docs, classes, size, percent)), "near-links")
     more = cut(across(members, classes, components(links), similarity), "near-across")
     more = verified(more, docs, classes, size, percent)
 
