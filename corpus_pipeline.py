@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import line_dedup, mixing, near_dedup, toxicity
+from hirelens.llm import decontaminate, line_dedup, mixing, near_dedup, toxicity
 from hirelens.llm.common import read_table, shared_dir
 
 
@@ -36,6 +36,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the words the mix takes of each."""
     return mixing.mix_sources(docs)
@@ -45,6 +50,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("line_dedup", drop_lines),
     ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
     ("mixing", mix),
 ]
 

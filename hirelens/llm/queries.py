@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import html_text, line_dedup, mixing, near_dedup, quality, topk, toxicity
+from hirelens.llm import decontaminate, html_text, line_dedup, mixing, near_dedup, pii, quality, substring_dedup, topk, toxicity
 from hirelens.llm.common import read_table
 
 
@@ -24,17 +24,31 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_sources(docs, carry=["doc_id", "source"]).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score_quality(docs, docs, read_table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matches(docs, read_table(spark, sf_dir, "benchmark")).where("contaminated")
+    return found.groupBy("doc_id", "item_id").agg(F.max("found").alias("found"), F.max("longest").cast("long").alias("longest"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -44,7 +58,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_html, op3_toxicity, op5_mixing, op7_quality, op9_near_dedup, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_html, op3_toxicity, op4_substring_dedup, op5_mixing, op6_pii, op7_quality, op8_decontaminate, op9_near_dedup, op10_line_dedup)}
 
 ORACLES = {
     "op1_topk": """
