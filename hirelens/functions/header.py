@@ -45,4 +45,4 @@ def fallback_header(link: Column, title: Column, description: Column) -> Column:
     """For links of other sites, 'title | description'; non-http links → null."""
     return (F.when(link.isNull() | ~link.startswith("http"), F.lit(None).cast("string"))
             .when(link.contains(BADGE_SITE), F.lit(None).cast("string"))
-            .otherwise(F.concat_ws(" | ", title, description)))
+            .when(title.isNotNull() | description.isNotNull(), F.concat_ws(" | ", title, description)))

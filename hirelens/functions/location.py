@@ -65,8 +65,9 @@ COUNTRY_NAMES = _country_names()
 
 
 def extract_country(location: ColumnOrName) -> Column:
-    """G1: city key → US state code of the last part → country name of the last
-    part → whole string is a country → a country name inside → 'Unknown'."""
+    """G1: country name or US state code as the last of several parts → city key in the
+    last part → city key anywhere → US state code → whole string is a country → a
+    country name inside → 'Unknown'."""
     return country_of_clean(clean_location(location))
 
 
@@ -80,10 +81,17 @@ def country_of_clean(cleaned: ColumnOrName) -> Column:
     cities, names = lit_map(CITY_TABLE), lit_map(COUNTRY_NAMES)
     city_key = F.regexp_extract(cleaned, _alternation(list(CITY_TABLE)), 1)
     last = F.trim(F.element_at(F.split(cleaned, ","), -1))
-    inner_key = F.regexp_extract(cleaned, _alternation(list(COUNTRY_NAMES)), 1)
+    city_last = F.regexp_extract(last, _alternation(list(CITY_TABLE)), 1)
+    parts = cleaned.contains(",")
+    # "america" names a country only as a whole part; "new mexico" names a state.
+    inner = F.regexp_replace(cleaned, "new mexico", "united states")
+    inner_key = F.regexp_extract(inner, _alternation([n for n in COUNTRY_NAMES if n != "america"]), 1)
     states = lit_array(R.US_STATE_CODES)
     return (
         F.when(cleaned.isNull() | (cleaned == ""), F.lit(R.UNKNOWN_COUNTRY))
+        .when(parts & F.map_contains_key(names, last), F.element_at(names, last))
+        .when(parts & F.array_contains(states, last), F.lit("United States"))
+        .when(city_last != "", F.element_at(cities, city_last))
         .when(city_key != "", F.element_at(cities, city_key))
         .when(F.array_contains(states, last), F.lit("United States"))
         .when(F.map_contains_key(names, last), F.element_at(names, last))

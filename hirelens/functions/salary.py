@@ -41,7 +41,9 @@ _SINGLE_LETTER_CURRENCIES = sorted({t for t in R.CURRENCY_TOKENS if len(t) == 1
 # One-letter currency tokens only count upper-case and touching the number (Q7).
 CUR_PREFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + "|(?-i:" + "|".join(_SINGLE_LETTER_CURRENCIES) + r")(?=\d))"
 CUR_SUFFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + ")"
-PERIOD = "(?:" + _alt(R.PERIOD_PHRASES, upper=False) + ")"
+# "a year" and the like, beside the fixed phrases.
+_A_PERIOD = {"a year": "year", "a month": "month", "an hour": "hour", "a week": "week", "a day": "day"}
+PERIOD = "(?:" + _alt([*R.PERIOD_PHRASES, *_A_PERIOD], upper=False) + ")"
 UNIT = r"/(?:yr|year|annum|mo|month|hr|hour)(?!\p{L})"
 # Indian grouping, thousands-grouped, or plain digits; optional 1-2 decimals; k/m (Q3).
 NUM = (r"(?<![\d.,])(?:\d{1,3}(?:,\d{2})+,\d{3}|\d{1,3}(?:[.,]\d{3})+|\d+)"
@@ -53,7 +55,7 @@ DASH = r"(?:-|–|—|to(?!\p{L}))"  # alternatives, not a character class (Q10)
 MASTER = (
     rf"(?iu){LEAD}(?:({CUR_PREFIX})\s?)?({NUM})({UNIT})?"
     rf"(?:(?:\s?({CUR_SUFFIX}))?\s*{DASH}\s*(?:({CUR_PREFIX})\s?)?({NUM})({UNIT})?)?"
-    rf"(?:\s?({CUR_SUFFIX}))?(?:\s*({PERIOD}))?"
+    rf"(?:\s?({CUR_SUFFIX}))?(?:\s*({PERIOD}|{UNIT}))?"
 )
 ANCHORED = "(?iu)^" + MASTER.replace("(?iu)", "", 1)  # the same pattern, matched from the start
 
@@ -78,6 +80,7 @@ for _p in R.PERIOD_PHRASES:
 for _u, _n in (("/yr", "year"), ("/year", "year"), ("/annum", "year"), ("/mo", "month"),
                ("/month", "month"), ("/hr", "hour"), ("/hour", "hour")):
     _PERIOD_NAME[_u] = _n
+_PERIOD_NAME.update(_A_PERIOD)
 
 
 

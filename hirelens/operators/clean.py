@@ -50,16 +50,12 @@ def apply_overrides(base: DataFrame, overrides: DataFrame, key: str) -> DataFram
                       for c in base.columns])
 
 
-def safe_casts(df: DataFrame, value_col: str, date_col: str, bins: list[tuple[float, str]],
-               top: str, missing: str = "Not disclosed") -> DataFrame:
+def safe_casts(df: DataFrame, value_col: str, date_col: str) -> DataFrame:
     """Text → double / date without failing (ANSI-safe), 'Unknown' date label,
-    a disclosed flag and a value band label."""
+    a disclosed flag and its label."""
     v = safe_double(value_col)
     dt = safe_date(date_col)
-    band = F.when(v.isNull(), F.lit(missing))
-    for upper, label in bins:
-        band = band.when(v < upper, F.lit(label))
-    band = band.otherwise(F.lit(top))
+    band = F.when(v.isNull(), F.lit("Not disclosed")).otherwise(F.lit("Disclosed"))
     return df.withColumns({
         "value_num": v,
         "event_date": dt,

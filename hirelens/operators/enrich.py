@@ -3,7 +3,7 @@
 Every extractor is a Column expression, so the whole enrichment is a single
 narrow stage per input partition: no shuffle, no Python worker.  The only
 lookup with a table, the FX rates, is either a literal map (the default,
-bounded dict) or a broadcast join behind a row-count check.
+bounded dict) or an equi-join, broadcast or not as Spark's statistics say.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from hirelens.functions import salary as L
 from hirelens.functions.skills import extract_skills_from_found, keywords_found
 from hirelens.functions.literals import lit_map
 from hirelens.functions.text import all_obfuscated, normalize_text
-from hirelens.operators.util import broadcast_if_small
 
 REQUIRED_COLUMNS = ["title", "description"]
 SALARY_COLUMNS = [
@@ -28,10 +27,10 @@ SALARY_COLUMNS = [
 
 
 def require_columns(df: DataFrame, cols: list[str]) -> None:
-    """Fail at plan time, listing every missing column."""
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"Input DataFrame is missing required columns: {missing}")
+    """Fail at plan time, naming what the postings lack and what they have."""
+    lacking = sorted(set(cols).difference(df.columns))
+    if lacking:
+        raise ValueError(f"postings need the columns {', '.join(lacking)}; given: {', '.join(df.columns)}")
 
 
 def _maybe(df: DataFrame, name: str) -> Column:
@@ -51,7 +50,7 @@ def annualize(df: DataFrame, rates: dict[str, float] | DataFrame | None = None)
         m = lit_map({k: float(v) for k, v in table.items()})
         out = df.withColumn("_rate", F.element_at(m, F.col("currency_raw")))
     else:
-        r = broadcast_if_small(rates.select(F.col("code").alias("_code"), F.col("rate").alias("_rate")), 10_000)
+        r = rates.select(F.col("code").alias("_code"), F.col("rate").alias("_rate"))
         out = df.join(r, F.col("currency_raw") == F.col("_code"), "left").drop("_code")
     rate = F.coalesce(F.col("_rate"), F.lit(1.0))
     rate = F.when(rate != 0, rate)
@@ -143,23 +142,33 @@ def reextract_skills(silver: DataFrame) -> DataFrame:
     return df.withColumns(extract_skills_from_found(F.col("_kw"))).drop("_kw")
 
 
+def _runs(words: str, n: int) -> Column:
+    """All runs of ``n`` words of an array column, joined by spaces."""
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+
 def resolve_countries(df: DataFrame, location_col: str, gazetteer: DataFrame,
                       out_col: str = "country") -> DataFrame:
     """G1/G2/J8 join form for a caller-supplied gazetteer ``(key, country, priority)``.
 
-    Distinct cleaned locations × broadcast gazetteer (bounded by a size check),
+    Every run of words of a distinct cleaned location, up to the longest key's
+    length, is hash-joined with the keys (a key is found where its words are);
     best key per location by priority then length, joined back on the cleaned
     location.  Unmatched locations fall back to the expression rules.
     """
-    def tokens(c: Column) -> Column:  # punctuation → spaces, padded: substring test = token match
-        return F.concat(F.lit(" "), F.regexp_replace(c, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    def tokens(c: Column) -> Column:
+        return F.filter(F.split(c, r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
     cleaned = G.clean_location(F.col(location_col))
     locs = df.select(cleaned.alias("_loc")).where(F.col("_loc") != "").distinct()
-    gaz = broadcast_if_small(gazetteer.select(
-        tokens(G.clean_location(F.col("key"))).alias("_key"), F.col("country").alias("_gc"),
-        F.col("priority")), 100_000)
-    hit = locs.join(gaz, tokens(F.col("_loc")).contains(F.col("_key")))
+    gaz = gazetteer.select(tokens(G.clean_location(F.col("key"))).alias("_t"), F.col("country").alias("_gc"), F.col("priority"))
+    gaz = gaz.where(F.size("_t") > 0)
+    longest = gaz.agg(F.max(F.size("_t"))).first()[0] or 1
+    gaz = gaz.withColumn("_key", F.array_join("_t", " "))
+    t = locs.select("_loc", tokens(F.col("_loc")).alias("_t")).where(F.size("_t") > 0)
+    runs = [_runs("_t", k + 1) for k in range(longest)]
+    hit = t.select("_loc", F.explode(F.array_distinct(F.concat(*runs))).alias("_key")).join(gaz.drop("_t"), "_key")
     best = hit.groupBy("_loc").agg(
         F.min_by("_gc", F.struct(F.col("priority"), -F.length("_key"))).alias("_resolved"))
     out = df.withColumn("_loc", cleaned).join(best, "_loc", "left")

@@ -213,22 +213,19 @@ def crosstab_top(df: DataFrame, row: str, col: str, k: int) -> DataFrame:
 def skill_cooccurrence(silver: DataFrame, k: int = 20) -> DataFrame:
     """Co-occurrence counts among the top-k skills; the diagonal is own support.
 
-    No per-job pair explosion: each job becomes a bit mask over the top-k
-    skills, masks are counted (pre-aggregated, at most 2^k distinct, far fewer
-    in practice), and only distinct masks are expanded to the ≤ k² pairs.
+    No per-job pair explosion: each job becomes the sorted array of its top-k
+    skills, equal arrays are counted (pre-aggregated), and only distinct ones
+    are expanded to their pairs.  Any ``k`` will do.
     """
     js = job_skills(silver).select("job_id", "skill").distinct()
     top = (js.groupBy("skill").agg(F.count(F.lit(1)).alias("_n"))
            .withColumn("_r", F.row_number().over(Window.orderBy(F.col("_n").desc(), F.col("skill"))) - 1)
            .where(F.col("_r") < k).select("skill", "_r"))  # ≤ k rows (window over one row per skill)
     masks = (js.join(F.broadcast(top), "skill")
-             .groupBy("job_id").agg(F.bit_or(F.expr("shiftleft(1L, _r)")).alias("_m"))
+             .groupBy("job_id").agg(F.array_sort(F.collect_set("_r")).alias("_m"))
              .groupBy("_m").agg(F.count(F.lit(1)).alias("_c")))
-    idx = F.sequence(F.lit(0), F.lit(k - 1))
-    pairs = (masks.select("_c", "_m", F.explode(idx).alias("_a"))
-             .where(F.expr("shiftright(_m, _a) & 1 = 1"))
-             .select("_c", "_m", "_a", F.explode(idx).alias("_b"))
-             .where(F.expr("shiftright(_m, _b) & 1 = 1"))
+    pairs = (masks.select("_c", "_m", F.explode("_m").alias("_a"))
+             .select("_c", "_a", F.explode("_m").alias("_b"))
              .groupBy("_a", "_b").agg(F.sum("_c").alias("n")))
     ta, tb = top.select(F.col("skill").alias("skill_a"), F.col("_r").alias("_a")), \
         top.select(F.col("skill").alias("skill_b"), F.col("_r").alias("_b"))

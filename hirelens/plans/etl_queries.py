@@ -97,8 +97,9 @@ def new_links_antijoin(spark, d):
 
 
 @register("union_common_columns", _BATCH_SQL + f"""
-SELECT link, id, {m2('price')} AS price, NULL::VARCHAR AS header_text FROM b WHERE _batch = 0
-UNION ALL SELECT link, id, {m2('price')} AS price, 'header ' || id AS header_text FROM b WHERE _batch = 1""")
+, u AS (SELECT link, id, price, CASE WHEN _batch = 1 THEN 'header ' || id END AS header_text,
+               row_number() OVER (PARTITION BY link ORDER BY _batch, id, price) AS rn FROM b)
+SELECT link, id, {m2('price')} AS price, header_text FROM u WHERE link IS NULL OR rn = 1""")
 def union_common_columns(spark, d):
     old, new = _batches(spark, d)
     existing = old.select("link", "id", "price")
@@ -180,8 +181,7 @@ SELECT event_id,
        coalesce(strftime(TRY_CAST(CASE WHEN event_type = 'click' THEN 'not a date'
                 ELSE substr(CAST(ts AS VARCHAR), 1, 10) END AS DATE), '%Y-%m-%d'), 'Unknown') AS event_date_filled,
        event_type <> 'error' AND value IS NOT NULL AS value_disclosed,
-       CASE WHEN event_type = 'error' OR value IS NULL THEN 'Not disclosed' WHEN value < 10 THEN 'Low'
-            WHEN value < 50 THEN 'Medium' ELSE 'High' END AS value_group
+       CASE WHEN event_type = 'error' OR value IS NULL THEN 'Not disclosed' ELSE 'Disclosed' END AS value_group
 FROM events""")
 def safe_casts(spark, d):
     e = read(spark, d, "events")
@@ -190,7 +190,7 @@ def safe_casts(spark, d):
         F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("v"),
         F.when(F.col("event_type") == "click", F.lit("not a date"))
         .otherwise(F.substring(F.col("ts").cast("string"), 1, 10)).alias("t"))
-    return clean.safe_casts(raw, "v", "t", bins=[(10.0, "Low"), (50.0, "Medium")], top="High") \
+    return clean.safe_casts(raw, "v", "t") \
         .select("event_id", "value_num", "event_date", "event_date_filled", "value_disclosed", "value_group")
 
 

@@ -251,12 +251,20 @@ dense AS (SELECT tc.country, ts.skill, coalesce(csc.count, 0) AS count FROM tc C
           LEFT JOIN csc ON csc.country = tc.country AND csc.skill = ts.skill)"""
 
 
-@register("country_skill_matrix", E + _CSC + """
-SELECT country, skill, count FROM dense""")
+@register("country_skill_matrix", E + """
+, j AS (SELECT DISTINCT p.country, s.skill, s.job_id FROM exp_job_skills s JOIN exp_postings p ON p.id = s.job_id),
+n AS (SELECT country, skill, count(*) AS count FROM j GROUP BY ALL),
+tc AS (SELECT country FROM n GROUP BY country ORDER BY sum(count) DESC, country LIMIT 10),
+ts AS (SELECT skill FROM n GROUP BY skill ORDER BY sum(count) DESC, skill LIMIT 10)
+SELECT tc.country, ts.skill, coalesce(n.count, 0) AS count FROM tc CROSS JOIN ts
+LEFT JOIN n ON n.country = tc.country AND n.skill = ts.skill""")
 def country_skill_matrix(spark, d):
-    counts = gold.country_skill_counts(silver(spark, d))
+    s = silver(spark, d)
+    counts = (gold.job_skills(s).select("job_id", "skill").distinct()
+              .join(s.select(F.col("id").alias("job_id"), "country"), "job_id")
+              .groupBy("country", "skill").agg(F.count(F.lit(1)).alias("count")))
     rows = Q.top_keys(counts, "country", 10, weight="count")
-    cols = Q.top_keys(counts, "skill", 15, weight="count")
+    cols = Q.top_keys(counts, "skill", 10, weight="count")
     return Q.dense_matrix(counts, "country", "skill", "count", rows, cols)
 
 

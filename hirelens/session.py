@@ -8,14 +8,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+LOCAL: dict[str, str] = {}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "hirelens", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with AQE on and the UI off.
 
-    On a cluster, ``master`` is left to spark-submit; ``shuffle_partitions`` then
-    only seeds AQE, which coalesces small partitions and splits skewed ones.
+    On a cluster, ``master`` is left to spark-submit, and so are the number of
+    shuffle partitions and the broadcast threshold unless the caller names them.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
@@ -30,10 +31,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # partitions instead of packing a few MB of postings into one task.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 200),
-        # Dimension tables here are tiny; anything above this stays a shuffle join.
-        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -47,15 +47,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only invent one (a
-    fresh temp folder) when it is unset, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
+    go without: one process then reads what it wrote, so a temp folder serves.
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None)
+    d = spark.conf.get(CHECKPOINT_CONF, None) or LOCAL.get("dir")
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not d:
-        d = tempfile.mkdtemp(prefix="hirelens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
+        if not spark.conf.get("spark.master", "local").startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+        d = LOCAL.setdefault("dir", tempfile.mkdtemp(prefix="hirelens-ckpt-"))
     try:
         spark.sparkContext.setCheckpointDir(d)
     except Exception:  # pragma: no cover - Connect sessions have no SparkContext

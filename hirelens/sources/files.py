@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +62,7 @@ def replace_parquet(df: DataFrame, path: str, staging: str) -> DataFrame:
 
 
 def read_rates(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """JSON object ``{code: units per USD}`` → (code, rate); USD=1 added; empty if unreadable.
+    """JSON object ``{code: units per USD}`` → (code, rate); USD=1 added; USD alone, with a warning, if there is no such file.
 
     The file is one small object (≤ ~200 ISO codes), so it is read whole.
     """
@@ -68,7 +71,10 @@ def read_rates(spark: SparkSession, path: str | None = None) -> DataFrame:
         raw = spark.read.option("multiLine", True).text(path, wholetext=True)
         m = raw.select(F.from_json("value", "map<string,double>").alias("m"))
         rates = m.select(F.explode("m").alias("code", "rate")).where(F.col("code") != "USD")
-    except Exception:  # unreadable file → USD only
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        logging.getLogger(__name__).warning("no rates at %s: all currencies but USD stay without a rate", path)
         rates = spark.createDataFrame([], "code string, rate double")
     usd = spark.createDataFrame([("USD", 1.0)], "code string, rate double")
     return rates.unionByName(usd)
