@@ -148,7 +148,7 @@ def class_id(shingles: np.ndarray) -> int:
 
 def batches(texts: pd.Series, chars: int = 2_000_000) -> Iterator[pd.Series]:
     """Consecutive parts of about ``chars`` characters, each of whole texts."""
-    lengths = texts.str.len().fillna(0).to_numpy(np.int64)
+    lengths = np.array([len(t) if t else 0 for t in texts], dtype=np.int64)
     group = np.cumsum(lengths) // chars
     for _, part in texts.groupby(group, sort=False):
         yield part
@@ -213,7 +213,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
             for texts in batches(part["text"]):
                 sets, c = shingles(texts), part.loc[texts.index, "c"].to_numpy()
                 at = [i for i, s in enumerate(sets) if class_id(s) == c[i]]  # a doc_id may repeat with another text
-                yield pd.DataFrame({"c": c[at], "s": [sets[i].view(np.int64) for i in at]})
+                if at:
+                    yield pd.DataFrame({"c": c[at], "s": [sets[i].view(np.int64) for i in at]})
 
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
     rep = classes.join(wanted, "cls").select(F.col("cls").alias("c"), "rep")

@@ -66,6 +66,8 @@ def paragraphs(docs: DataFrame, bands: int, with_sets: bool = False) -> DataFram
                         if len(line.split()) >= MIN_WORDS:
                             ids.append((doc_id, place))
                             lines.append(line)
+                if not lines:
+                    continue
                 sets = shingles(lines)
                 fps = [class_id(s) for s in sets]
                 if with_sets:

@@ -52,7 +52,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     ids, owners, h = [], [], np.zeros(len(chars), dtype=np.uint64)
     for n in range(1, max(GRAMS) + 1):
         shifted = np.zeros_like(chars)
-        shifted[: len(chars) - n + 1] = chars[n - 1 :]
+        shifted[: max(0, len(chars) - n + 1)] = chars[n - 1 :]
         h = h * np.uint64(0x100000001B3) + shifted + np.uint64(n)
         if n in GRAMS:
             whole = room >= n
