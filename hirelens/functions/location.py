@@ -64,6 +64,11 @@ CITY_TABLE = _city_table()
 COUNTRY_NAMES = _country_names()
 
 
+def state_named(cleaned: Column) -> Column:
+    """New Mexico is a state: its name must not be read as a country's."""
+    return F.regexp_replace(cleaned, r"\bnew mexico\b", "united states")
+
+
 def extract_country(location: ColumnOrName) -> Column:
     """G1: country name or US state code as the last of several parts → city key in the
     last part → city key anywhere → US state code → whole string is a country → a
@@ -77,15 +82,14 @@ def country_of_clean(cleaned: ColumnOrName) -> Column:
     For tables, materialise ``clean_location`` as a column first so every
     rule reads it instead of re-cleaning.
     """
-    cleaned = col(cleaned)
+    cleaned = state_named(col(cleaned))
     cities, names = lit_map(CITY_TABLE), lit_map(COUNTRY_NAMES)
     city_key = F.regexp_extract(cleaned, _alternation(list(CITY_TABLE)), 1)
     last = F.trim(F.element_at(F.split(cleaned, ","), -1))
     city_last = F.regexp_extract(last, _alternation(list(CITY_TABLE)), 1)
     parts = cleaned.contains(",")
-    # "america" names a country only as a whole part; "new mexico" names a state.
-    inner = F.regexp_replace(cleaned, "new mexico", "united states")
-    inner_key = F.regexp_extract(inner, _alternation([n for n in COUNTRY_NAMES if n != "america"]), 1)
+    # "america" names a country only as a whole part
+    inner_key = F.regexp_extract(cleaned, _alternation([n for n in COUNTRY_NAMES if n != "america"]), 1)
     states = lit_array(R.US_STATE_CODES)
     return (
         F.when(cleaned.isNull() | (cleaned == ""), F.lit(R.UNKNOWN_COUNTRY))

@@ -166,7 +166,7 @@ def resolve_countries(df: DataFrame, location_col: str, gazetteer: DataFrame,
     gaz = gaz.where(F.size("_t") > 0)
     longest = gaz.agg(F.max(F.size("_t"))).first()[0] or 1
     gaz = gaz.withColumn("_key", F.array_join("_t", " "))
-    t = locs.select("_loc", tokens(F.col("_loc")).alias("_t")).where(F.size("_t") > 0)
+    t = locs.select("_loc", tokens(G.state_named(F.col("_loc"))).alias("_t")).where(F.size("_t") > 0)
     runs = [_runs("_t", k + 1) for k in range(longest)]
     hit = t.select("_loc", F.explode(F.array_distinct(F.concat(*runs))).alias("_key")).join(gaz.drop("_t"), "_key")
     best = hit.groupBy("_loc").agg(
