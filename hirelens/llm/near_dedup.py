@@ -90,7 +90,10 @@ class Shingler:
         return self.hashes[at]
 
     def __call__(self, texts: Iterable[str | None]) -> list[np.ndarray]:
-        words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
+        return self.of_words([t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts])[0]
+
+    def of_words(self, words: list[list[bytes]]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The sets of texts that are given as words, and the hashes of all the words."""
         h = self.word_hashes([w for ws in words for w in ws])
         total = np.full(len(h), self.size, dtype=np.uint64)
         for i in range(self.size):
@@ -109,7 +112,7 @@ class Shingler:
             else:
                 out.append(np.empty(0, dtype=np.uint64))
             at += n
-        return out
+        return out, h
 
 
 def registers(sets: list[np.ndarray], count: int = REGISTERS) -> np.ndarray:

@@ -35,6 +35,8 @@ MIN_WORDS = 8
 LONG, CUT = 40, 12
 ROWS = 4
 SHINGLE = 5
+#: A place is a line number and, below these bits, the word at which a segment begins, plus one.
+LINE_BITS = 32
 
 
 def bands_for(similarity: float, recall: float, rows: int = ROWS) -> int:
@@ -53,45 +55,70 @@ def segments(hashes: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def paragraphs(docs: DataFrame, bands: int, with_sets: bool = False) -> DataFrame:
-    """``(doc_id, place, n_words, fp, whole, keys)`` of every paragraph and segment; with_sets: ``(fp, s)`` of paragraphs only."""
+def lines_of(text: str) -> list[tuple[int, list[bytes]]]:
+    """``(number, words)`` of the lines of MIN_WORDS words or more."""
+    split = ((i, line.split()) for i, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")))
+    return [(i, words) for i, words in split if len(words) >= MIN_WORDS]
+
+
+def known(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
+
+
+def paragraphs(docs: DataFrame, bands: int) -> DataFrame:
+    """``(doc_id, place, n_words, fp, whole, keys)`` of every paragraph and segment; segments have no keys."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(SHINGLE)
+        first = (np.arange(bands, dtype=np.uint64) + np.uint64(1)) * ODD[3]
         for part in parts:
             for texts in batches(part["text"]):
-                ids, lines = [], []
-                for doc_id, text in zip(part.loc[texts.index, "doc_id"], texts, strict=True):
-                    for place, line in enumerate(text.split("\n")):
-                        if len(line.split()) >= MIN_WORDS:
-                            ids.append((doc_id, place))
-                            lines.append(line)
-                if not lines:
-                    continue
-                sets = shingles(lines)
-                fps = [class_id(s) for s in sets]
-                if with_sets:
-                    yield pd.DataFrame({"fp": fps, "s": [s.view(np.int64) for s in sets]})
+                found = [(d, i, words) for d, text in zip(part.loc[texts.index, "doc_id"], texts, strict=True) for i, words in lines_of(text)]
+                if not found:
                     continue
+                sets, hashes = shingles.of_words([words for *_, words in found])
                 regs = registers(sets, bands * ROWS).reshape(len(sets), bands, ROWS).astype(np.uint64)
-                keys = np.zeros((len(sets), bands), dtype=np.uint64)
+                keys = np.broadcast_to(first, (len(sets), bands))
                 for i in range(ROWS):
                     keys = mix(keys + regs[:, :, i] * ODD[i % 3] + np.uint64(i + 1))
                 keys = np.where(regs.any(axis=2), keys | np.uint64(1), np.uint64(0)).view(np.int64)
-                rows = []
-                for (doc_id, place), line, fp, key in zip(ids, lines, fps, keys, strict=True):
-                    words = line.encode("utf-8", "surrogatepass").lower().split()
-                    rows.append((doc_id, place * 1_000_000, len(words), fp, True, key))
-                    if len(words) > LONG:
-                        h = shingles.word_hashes(words)
-                        for lo, hi in segments(h):
-                            if hi - lo < len(words):
-                                rows.append((doc_id, place * 1_000_000 + lo + 1, hi - lo, class_id(h[lo:hi]), False, None))
+                rows, at = [], 0
+                for (doc_id, line, words), s, key in zip(found, sets, keys, strict=True):
+                    n = len(words)
+                    rows.append((doc_id, line << LINE_BITS, n, class_id(s), True, key))
+                    if n > LONG:
+                        h = hashes[at : at + n]
+                        rows += [(doc_id, (line << LINE_BITS) + lo + 1, hi - lo, class_id(h[lo:hi]), False, None) for lo, hi in segments(h) if hi - lo < n]
+                    at += n
                 yield pd.DataFrame(rows, columns=["doc_id", "place", "n_words", "fp", "whole", "keys"])
 
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    kind = "fp long, s array<long>" if with_sets else "doc_id long, place long, n_words long, fp long, whole boolean, keys array<long>"
-    return known.mapInPandas(run, kind)
+    return known(docs).mapInPandas(run, "doc_id long, place long, n_words long, fp long, whole boolean, keys array<long>")
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(fp, s)``: the shingles of the paragraphs ``wanted`` (fp, first); only their lines are read again.
+
+    The list of a document's wanted lines is bounded by its own lines.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingles = Shingler(SHINGLE)
+        for part in parts:
+            for texts in batches(part["text"]):
+                lines = []
+                for text, some in zip(texts, part.loc[texts.index, "some"], strict=True):
+                    asked = set(some)
+                    lines += [words for i, words in lines_of(text) if i in asked]
+                if lines:
+                    sets = shingles.of_words(lines)[0]
+                    yield pd.DataFrame({"fp": [class_id(s) for s in sets], "s": [s.view(np.int64) for s in sets]})
+
+    line = F.shiftright("first.place", LINE_BITS)
+    asked = wanted.groupBy(F.col("first.doc_id").alias("d")).agg(F.collect_list(line).alias("some"))
+    texts = known(docs).join(asked, F.col("doc_id") == F.col("d")).select("text", "some")
+    # Rows that repeat a doc_id bring the same lines again, or others in their place.
+    sets = texts.mapInPandas(run, "fp long, s array<long>")
+    return sets.join(wanted.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("s").alias("s"))
 
 
 def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
@@ -99,17 +126,18 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float =
 
     ``keeper`` is the doc_id of the first occurrence, which is not removed.
     """
-    bands = bands_for(similarity, recall)
-    found = cut(paragraphs(docs, bands), "passages")
-    classes = cut(found.groupBy("fp").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"),
-                                          F.first("keys", ignorenulls=True).alias("keys")), "passage-classes")
-    banded = classes.where("keys is not null").select("fp", F.posexplode("keys").alias("band", "key")).where("key <> 0")
-    groups = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("size > 1")
-    members = banded.join(groups, ["band", "key"])
+    found = cut(paragraphs(docs, bands_for(similarity, recall)), "passages")
+    classes = found.groupBy("fp").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"),
+                                      F.first("keys", ignorenulls=True).alias("keys"))
+    # A segment is linked by its fingerprint alone, so one that occurs once is done.
+    classes = cut(classes.where("keys is not null or n > 1"), "passage-classes")
+    banded = classes.where("keys is not null").select("fp", F.explode("keys").alias("key")).where("key <> 0")
+    groups = banded.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi")
+    members = banded.join(groups, "key")
     pairs = members.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("fp").alias("b")), F.struct(F.col("fp").alias("a"), F.col("hi").alias("b")))).alias("p"))
     pairs = cut(pairs.select("p.a", "p.b").where("a <> b").distinct(), "passage-pairs")
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-    sets = cut(paragraphs(docs, bands, with_sets=True).join(wanted, "fp", "left_semi").groupBy("fp").agg(F.first("s").alias("s")), "passage-sets")
+    asked = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    sets = cut(shingle_sets(docs, cut(classes.select("fp", "first").join(asked, "fp"), "passage-asked")), "passage-sets")
     both = F.size(F.array_intersect("sa", "sb"))
     near = pairs.join(sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
     near = near.where(both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).select("a", "b")
@@ -125,7 +153,7 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float =
 def substring_dedup(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
     """One row per document: passages it shares, those removed from it and their words, and the documents that keep them."""
     hits = repeated_passages(docs, similarity, recall)
-    line = F.floor(F.col("place") / 1_000_000)
+    line = F.shiftright("place", LINE_BITS)
     # A segment counts where its whole paragraph doesn't.
     lines = hits.withColumn("line", line).groupBy("doc_id", "line").agg(
         F.max("whole").alias("whole"), F.max(F.when(F.col("whole"), F.col("removed"))).alias("line_removed"),
