@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from hirelens.llm.common import cut
 from hirelens.llm.components import components
-from hirelens.llm.near_dedup import ODD, Shingler, batches, class_id, mix, registers
+from hirelens.llm.near_dedup import ODD, Shingler, batches, class_id, mix
 
 MIN_WORDS = 8
 #: Lines of more words are also cut into segments, at one place in CUT on average.
@@ -55,6 +55,12 @@ def segments(hashes: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def minima(sets: list[np.ndarray], odd: np.ndarray) -> np.ndarray:
+    """MinHash of sets that aren't empty, one row per set: the smallest product with each of the odd factors."""
+    hashes, starts = np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]])
+    return np.stack([np.minimum.reduceat(hashes * factor, starts) for factor in odd], axis=1)
+
+
 def lines_of(text: str) -> list[tuple[int, list[bytes]]]:
     """``(number, words)`` of the lines of MIN_WORDS words or more."""
     split = ((i, line.split()) for i, line in enumerate(text.encode("utf-8", "surrogatepass").lower().split(b"\n")))
@@ -71,17 +77,18 @@ def paragraphs(docs: DataFrame, bands: int) -> DataFrame:
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(SHINGLE)
         first = (np.arange(bands, dtype=np.uint64) + np.uint64(1)) * ODD[3]
+        odd = mix(np.arange(1, bands * ROWS + 1, dtype=np.uint64) * ODD[4]) | np.uint64(1)
         for part in parts:
             for texts in batches(part["text"]):
                 found = [(d, i, words) for d, text in zip(part.loc[texts.index, "doc_id"], texts, strict=True) for i, words in lines_of(text)]
                 if not found:
                     continue
                 sets, hashes = shingles.of_words([words for *_, words in found])
-                regs = registers(sets, bands * ROWS).reshape(len(sets), bands, ROWS).astype(np.uint64)
+                least = minima(sets, odd).reshape(len(sets), bands, ROWS)
                 keys = np.broadcast_to(first, (len(sets), bands))
                 for i in range(ROWS):
-                    keys = mix(keys + regs[:, :, i] * ODD[i % 3] + np.uint64(i + 1))
-                keys = np.where(regs.any(axis=2), keys | np.uint64(1), np.uint64(0)).view(np.int64)
+                    keys = mix(keys + least[:, :, i] * ODD[i % 3])
+                keys = keys.view(np.int64)
                 rows, at = [], 0
                 for (doc_id, line, words), s, key in zip(found, sets, keys, strict=True):
                     n = len(words)
@@ -131,7 +138,7 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float =
                                       F.first("keys", ignorenulls=True).alias("keys"))
     # A segment is linked by its fingerprint alone, so one that occurs once is done.
     classes = cut(classes.where("keys is not null or n > 1"), "passage-classes")
-    banded = classes.where("keys is not null").select("fp", F.explode("keys").alias("key")).where("key <> 0")
+    banded = classes.where("keys is not null").select("fp", F.explode("keys").alias("key"))
     groups = banded.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi")
     members = banded.join(groups, "key")
     pairs = members.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("fp").alias("b")), F.struct(F.col("fp").alias("a"), F.col("hi").alias("b")))).alias("p"))
