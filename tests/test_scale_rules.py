@@ -3,10 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from hirelens import refdata as R
 from hirelens.functions.header import fallback_header
 from hirelens.functions.location import extract_country
 from hirelens.functions.salary import extract_salary
-from hirelens.operators import merge, reports
+from hirelens.operators import merge, ml, reports
 from hirelens.operators.enrich import require_columns, resolve_countries
 
 
@@ -71,3 +72,13 @@ def test_no_header_without_parts(spark):
 def test_missing_columns_are_named(spark):
     with pytest.raises(ValueError, match="description, title"):
         require_columns(spark.range(1), ["title", "description"])
+
+
+def test_skill_vocabulary_breaks_ties_by_name(spark):
+    first, *others = R.SKILL_COLUMNS
+    rows = spark.createDataFrame([(1, ["d", "b", "z"]), (2, ["a", "c", "z"]), (3, [])], "id long, s array<string>")
+    silver = rows.select("id", F.col("s").alias(first), *[F.array().cast("array<string>").alias(c) for c in others])
+    feats, vocab = ml.skill_features(silver, top_n=3)
+    assert vocab == ["z", "a", "b"]
+    got = {r["id"]: list(r["features"].toArray()) for r in feats.collect()}
+    assert got == {1: [1, 0, 1], 2: [1, 1, 0], 3: [0, 0, 0]}
