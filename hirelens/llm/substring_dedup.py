@@ -4,11 +4,13 @@ Paragraphs are the lines of a text; a long line is also cut into segments at
 places that only the words around them decide, so a passage inside a longer
 paragraph has the same segments wherever it stands.  Equal paragraphs (and
 segments) meet by fingerprint.  Different paragraphs are banded by MinHash, with
-as many bands as the wished recall asks for; in each group of colliding
-paragraphs every one is compared with two centres, and the exact Jaccard
-similarity of their five-word shingles decides.  Components of the links are the
-clusters: the first occurrence (smallest doc_id, then position) stays, the
-others go.
+as many bands as the wished recall asks for; the exact Jaccard similarity of their
+five-word shingles decides.  In each group of colliding paragraphs every one is
+compared with two centres first; then, in the groups that are still of several
+components, the paragraphs of different components are compared with each other
+in cells of bounded size, so every pair of a group is linked or in one component.
+Components of the links are the clusters: the first occurrence (smallest doc_id,
+then position) stays, the others go.
 
 Cases: null and empty texts have no paragraphs; paragraphs under MIN_WORDS words
 are left alone (line dedup is for those).  Rows that repeat a doc_id are one
@@ -26,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import cut
+from hirelens.llm.common import cut, parallelism
 from hirelens.llm.components import components
 from hirelens.llm.near_dedup import ODD, Shingler, batches, class_id, mix
 
@@ -37,6 +39,8 @@ ROWS = 4
 SHINGLE = 5
 #: A place is a line number and, below these bits, the word at which a segment begins, plus one.
 LINE_BITS = 32
+#: Shingles of a block on average, and of a task's cells.
+BLOCK, TASK = 100_000, 2_000_000
 
 
 def bands_for(similarity: float, recall: float, rows: int = ROWS) -> int:
@@ -128,6 +132,57 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return sets.join(wanted.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("s").alias("s"))
 
 
+def similar_across(sets: list[np.ndarray], comps: np.ndarray, sides: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Pairs of rows similar enough that join all components which such pairs join; where ``sides`` are of two kinds, pairs of both."""
+    sizes = np.array([len(s) for s in sets])
+    _, number = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    two, comp, out = sides.min() != sides.max(), comps.copy(), []
+    mark = np.zeros(number.max() + 1, dtype=bool)
+    for i in range(len(sets) - 1):
+        j = np.arange(i + 1, len(sets))
+        ok = (comp[j] != comp[i]) & (np.minimum(sizes[j], sizes[i]) >= similarity * np.maximum(sizes[j], sizes[i]))
+        j = j[ok & (sides[j] != sides[i])] if two else j[ok]
+        if not len(j):
+            continue
+        mine = number[starts[i] : starts[i] + sizes[i]]
+        mark[mine] = True
+        both = np.add.reduceat(mark[number[starts[i] :]], starts[i:] - starts[i])[j - i]
+        mark[mine] = False
+        for x in j[both >= similarity * (sizes[j] + sizes[i] - both)].tolist():
+            if comp[x] != comp[i]:
+                out.append((i, x))
+                comp[comp == comp[x]] = comp[i]
+    return out
+
+
+def across(members: DataFrame, sets: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: links between different components within the groups ``members`` (key, fp).
+
+    Groups are cut into blocks of about BLOCK shingles; each pair of blocks is a
+    cell, and cells are dealt to tasks in batches.  A cell gives fewer links than it has members.
+    """
+    known = members.join(labels, members["fp"] == labels["node"], "left").select("key", "fp", F.coalesce("label", "fp").alias("comp"))
+    known = cut(known, "passage-members")
+    mixed = known.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size")).where("x <> y and size > 2")
+    rows = known.join(mixed.select("key"), "key").join(sets.select("fp", F.size("s").alias("n")), "fp")
+    weights = rows.groupBy("key").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(weights, "key").withColumn("own", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cut(rows.select("key", "fp", "comp", "n", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")), "passage-cells")
+    tasks = max(parallelism(members.sparkSession), (cells.agg(F.sum("n")).first()[0] or 0) // TASK + 1)
+    cells = cells.withColumn("task", F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(tasks))).drop("n").join(sets, "fp")
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, cell in part.groupby(["key", "lo", "hi"], sort=False):
+            fps = cell["fp"].to_numpy()
+            found += [(fps[i], fps[j]) for i, j in similar_across(list(cell["s"]), cell["comp"].to_numpy(), cell["own"].to_numpy(), similarity)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return cells.groupBy("task").applyInPandas(run, "a long, b long")
+
+
 def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
     """``(doc_id, place, n_words, whole, keeper, removed)`` of every paragraph or segment that occurs more than once.
 
@@ -140,7 +195,7 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float =
     classes = cut(classes.where("keys is not null or n > 1"), "passage-classes")
     banded = classes.where("keys is not null").select("fp", F.explode("keys").alias("key"))
     groups = banded.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi")
-    members = banded.join(groups, "key")
+    members = cut(banded.join(groups, "key"), "passage-groups")
     pairs = members.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("fp").alias("b")), F.struct(F.col("fp").alias("a"), F.col("hi").alias("b")))).alias("p"))
     pairs = cut(pairs.select("p.a", "p.b").where("a <> b").distinct(), "passage-pairs")
     asked = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
@@ -148,7 +203,9 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float =
     both = F.size(F.array_intersect("sa", "sb"))
     near = pairs.join(sets.select(F.col("fp").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("s").alias("sb")), "b")
     near = near.where(both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).select("a", "b")
-    labels = components(near)
+    near = cut(near, "passage-near")
+    more = cut(across(members.select("key", "fp"), sets, components(near), similarity), "passage-across")
+    labels = components(near.union(more))
     of = classes.join(labels, classes["fp"] == labels["node"], "left").select("fp", "first", "n", F.coalesce("label", "fp").alias("cluster"))
     clusters = of.groupBy("cluster").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1")
     of = of.select("fp", "cluster").join(clusters, "cluster").select(F.col("fp").alias("f"), "keep")

@@ -121,6 +121,41 @@ def test_passages_in_lines_and_inside_lines(spark):
     assert two == {1: 0, 2: 1}
 
 
+def hub_of(rng, variants):
+    """A paragraph of 60 words and variants of it with one word changed each: similar to it, not to each other."""
+    base = [f"w{rng.randrange(30000)}" for _ in range(60)]
+    places = rng.sample(range(5, 55), variants)
+    return [" ".join(base)] + [" ".join([*base[:k], f"new{rng.randrange(10**6)}", *base[k + 1 :]]) for k in places]
+
+
+def test_paragraphs_of_a_hub_and_a_family_against_all_pairs(spark):
+    rng = random.Random(29)
+    texts = [t for _ in range(12) for t in hub_of(rng, 30)]
+    for length in (20, 60, 150):
+        base = [f"w{rng.randrange(30000)}" for _ in range(length)]
+        texts += [" ".join(mutated(rng, base, rng.randrange(0, max(2, length // 25) + 1))) for _ in range(40)]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    expected = exact_components(rows, 5, 80)
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    wrong = [i for i in expected if (got[i].n_removed == 1) != (expected[i] != i)]
+    assert len(wrong) <= 0.01 * len(rows)
+
+
+@pytest.mark.parametrize("block", [300, 100_000])
+def test_links_across_blocks_join_what_all_pairs_join(spark, block, monkeypatch):
+    rng = random.Random(31)
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    texts = hub_of(rng, 25) + hub_of(rng, 25) + [" ".join(f"w{rng.randrange(30000)}" for _ in range(60)) for _ in range(10)]
+    rng.shuffle(texts)
+    sets = near_dedup.Shingler(5)(texts)
+    members = spark.createDataFrame([(1, i) for i in range(len(texts))], "key long, fp long")
+    table = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)], "fp long, s array<long>")
+    links = substring_dedup.across(members, table, spark.createDataFrame([], "node long, label long"), 0.8)
+    labels = {r.node: r.label for r in components.components(links).collect()}
+    assert {i: labels.get(i, i) for i in range(len(texts))} == exact_components(list(enumerate(texts)), 5, 80)
+
+
 def held_out(name, folds, fold):
     import duckdb
     rows = duckdb.sql(f"select l.doc_id, l.{name} as y from '/root/testdata/sf0.1/labels.parquet' l").fetchall()
