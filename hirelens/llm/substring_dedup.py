@@ -1,9 +1,12 @@
 """Substring dedup by paragraph MinHash.
 
 Paragraphs are the lines of a text; a long line is also cut into segments at
-places that only the words around them decide, so a passage inside a longer
-paragraph has the same segments wherever it stands.  Equal paragraphs (and
-segments) meet by fingerprint.  Different paragraphs are banded by MinHash, with
+places that only the words around them decide.  Equal paragraphs (and segments)
+meet by fingerprint.  A passage of PASSAGE words or more that stands anywhere in
+two lines, whole lines or not, is found from end to end: every window of PASSAGE
+words holds a seed that its words alone decide, and all windows around seeds that
+occur more than once meet by the fingerprint of all their words.  Shorter passages
+inside longer lines are found only where they hold a segment.  Different paragraphs are banded by MinHash, with
 as many bands as the wished recall asks for; the exact Jaccard similarity of their
 five-word shingles decides.  In each group of colliding paragraphs every one is
 compared with two centres first; then, in the groups that are still of several
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import cut, parallelism
@@ -35,6 +38,8 @@ from hirelens.llm.near_dedup import ODD, Shingler, batches, class_id, mix
 MIN_WORDS = 8
 #: Lines of more words are also cut into segments, at one place in CUT on average.
 LONG, CUT = 40, 12
+#: Words of a passage that is found wherever it stands; words of a seed.
+PASSAGE, SEED = 50, 20
 ROWS = 4
 SHINGLE = 5
 #: A place is a line number and, below these bits, the word at which a segment begins, plus one.
@@ -59,6 +64,43 @@ def segments(hashes: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` words in a row; as many as fit."""
+    out, taken, power, step = np.empty(0, dtype=np.uint64), 0, hashes, 1
+    while True:
+        if size & step:
+            n = max(0, len(hashes) - taken - step + 1)
+            out = mix(out[:n] * ODD[1] + power[taken : taken + n]) if taken else power
+            taken += step
+        if step * 2 > size:
+            return out
+        power = mix(power[:-step] * ODD[0] + power[step:]) if len(power) > step else power[:0]
+        step *= 2
+
+
+def slide(values: np.ndarray, size: int, pick: np.ufunc) -> np.ndarray:
+    """``pick`` (minimum or maximum) of every ``size`` values in a row."""
+    step = 1
+    while step * 2 <= size:
+        values = pick(values[:-step], values[step:])
+        step *= 2
+    return pick(values[: len(values) - (size - step)], values[size - step :]) if size > step else values
+
+
+def seeds(hashes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the seeds of lines begin, and their hashes: the smallest of each window of PASSAGE words.
+
+    ``hashes``: the words of all lines in a row; ``left``: the words from each one to the end of its line.
+    """
+    if len(hashes) < PASSAGE:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    within, all_grams = PASSAGE - SEED + 1, grams(hashes, SEED)
+    least = np.where(left[: len(all_grams) - within + 1] >= PASSAGE, slide(all_grams, within, np.minimum), np.uint64(0))
+    edge = np.zeros(within - 1, dtype=np.uint64)
+    at = np.flatnonzero((slide(np.concatenate([edge, least, edge]), within, np.maximum) == all_grams) & (all_grams != 0))
+    return at, all_grams[at]
+
+
 def minima(sets: list[np.ndarray], odd: np.ndarray) -> np.ndarray:
     """MinHash of sets that aren't empty, one row per set: the smallest product with each of the odd factors."""
     hashes, starts = np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]])
@@ -76,7 +118,7 @@ def known(docs: DataFrame) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, bands: int) -> DataFrame:
-    """``(doc_id, place, n_words, fp, whole, keys)`` of every paragraph and segment; segments have no keys."""
+    """``(doc_id, place, n_words, fp, whole, keys)`` of every paragraph, segment and seed; only paragraphs have keys, seeds have no n_words."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(SHINGLE)
@@ -93,6 +135,13 @@ def paragraphs(docs: DataFrame, bands: int) -> DataFrame:
                 for i in range(ROWS):
                     keys = mix(keys + least[:, :, i] * ODD[i % 3])
                 keys = keys.view(np.int64)
+                counts = np.array([len(words) for *_, words in found])
+                ends = np.cumsum(counts)
+                start, gram = seeds(hashes, np.repeat(ends, counts) - np.arange(len(hashes)))
+                own = np.searchsorted(ends, start, side="right")
+                lines, ids = np.array([i for _, i, _ in found]), np.array([d for d, *_ in found])
+                yield pd.DataFrame({"doc_id": ids[own], "place": (lines[own] << LINE_BITS) + start - (ends - counts)[own] + 1, "n_words": 0,
+                                    "fp": gram.view(np.int64), "whole": False, "keys": None})
                 rows, at = [], 0
                 for (doc_id, line, words), s, key in zip(found, sets, keys, strict=True):
                     n = len(words)
@@ -132,6 +181,48 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return sets.join(wanted.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("s").alias("s"))
 
 
+def repeated_windows(docs: DataFrame, seeded: DataFrame) -> DataFrame:
+    """``(doc_id, place, n_words, keeper, removed)`` of every PASSAGE words in a row that occur more than once.
+
+    ``seeded`` has the seeds (doc_id, place, fp).  What a window shares with its own
+    first occurrence, in a line that repeats itself, doesn't count.  The list of a
+    document's seeds is bounded by its own words.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingles = Shingler(SHINGLE)
+        for part in parts:
+            for texts in batches(part["text"]):
+                for doc_id, text, some in zip(part.loc[texts.index, "doc_id"], texts, part.loc[texts.index, "some"], strict=True):
+                    some = np.sort(some)
+                    line, at = some >> LINE_BITS, (some & ((1 << LINE_BITS) - 1)) - 1
+                    asked, out = set(line.tolist()), []
+                    for i, words in lines_of(text):
+                        if i not in asked or len(words) < PASSAGE:
+                            continue
+                        mine = at[np.searchsorted(line, i) : np.searchsorted(line, i, side="right")]
+                        last = len(words) - PASSAGE
+                        ends = np.zeros(len(words) + 2, dtype=np.int64)
+                        # A window that holds the seed begins at most PASSAGE - SEED words before it.
+                        np.add.at(ends, np.clip(mine - (PASSAGE - SEED), 0, len(words)), 1)
+                        np.add.at(ends, np.clip(mine + 1, 0, len(words) + 1), -1)
+                        start = np.flatnonzero(np.cumsum(ends)[: last + 1] > 0)
+                        out.append(pd.DataFrame({"w": grams(shingles.word_hashes(words), PASSAGE)[start].view(np.int64), "doc_id": doc_id, "place": (i << LINE_BITS) + start + 1}))
+                    if out:
+                        yield pd.concat(out)
+
+    spot = F.struct("doc_id", "place")
+    twice = lambda t, key: t.groupBy(key).agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first <> last").select(F.col(key).alias("k"), "first")
+    again = seeded.join(twice(seeded, "fp").select("k"), F.col("fp") == F.col("k"), "left_semi")
+    asked = again.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("place").alias("some"))
+    texts = known(docs).join(asked, F.col("doc_id") == F.col("d")).select("doc_id", "text", "some")
+    found = cut(texts.mapInPandas(run, "w long, doc_id long, place long"), "passage-windows")
+    hits = found.join(twice(found, "w"), F.col("w") == F.col("k"))
+    same = (F.col("doc_id") == F.col("first.doc_id")) & (F.shiftright("place", LINE_BITS) == F.shiftright("first.place", LINE_BITS)) & (F.col("place") > F.col("first.place"))
+    begin = F.when(same, F.greatest(F.col("place"), F.col("first.place") + PASSAGE)).otherwise(F.col("place"))
+    return hits.select("doc_id", begin.alias("place"), (F.col("place") + PASSAGE - begin).alias("n_words"), F.col("first.doc_id").alias("keeper"), (spot != F.col("first")).alias("removed"))
+
+
 def similar_across(sets: list[np.ndarray], comps: np.ndarray, sides: np.ndarray, similarity: float) -> list[tuple[int, int]]:
     """Pairs of rows similar enough that join all components which such pairs join; where ``sides`` are of two kinds, pairs of both."""
     sizes = np.array([len(s) for s in sets])
@@ -184,11 +275,13 @@ def across(members: DataFrame, sets: DataFrame, labels: DataFrame, similarity: f
 
 
 def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
-    """``(doc_id, place, n_words, whole, keeper, removed)`` of every paragraph or segment that occurs more than once.
+    """``(doc_id, place, n_words, whole, keeper, removed)`` of every paragraph, segment or window that occurs more than once.
 
     ``keeper`` is the doc_id of the first occurrence, which is not removed.
     """
     found = cut(paragraphs(docs, bands_for(similarity, recall)), "passages")
+    windows = repeated_windows(docs, found.where("n_words = 0").select("doc_id", "place", "fp"))
+    found = found.where("n_words > 0")
     classes = found.groupBy("fp").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count(F.lit(1)).alias("n"),
                                       F.first("keys", ignorenulls=True).alias("keys"))
     # A segment is linked by its fingerprint alone, so one that occurs once is done.
@@ -210,8 +303,25 @@ def repeated_passages(docs: DataFrame, similarity: float = 0.8, recall: float =
     clusters = of.groupBy("cluster").agg(F.min("first").alias("keep"), F.sum("n").alias("n")).where("n > 1")
     of = of.select("fp", "cluster").join(clusters, "cluster").select(F.col("fp").alias("f"), "keep")
     out = found.select("doc_id", "place", "n_words", "whole", "fp").join(of, F.col("fp") == F.col("f"))
-    return out.select("doc_id", "place", "n_words", "whole", F.col("keep.doc_id").alias("keeper"),
-                      (F.struct("doc_id", "place") != F.col("keep")).alias("removed"))
+    out = out.select("doc_id", "place", "n_words", "whole", F.col("keep.doc_id").alias("keeper"),
+                     (F.struct("doc_id", "place") != F.col("keep")).alias("removed"))
+    return out.unionByName(windows.withColumn("whole", F.lit(False)))
+
+
+def runs(spans: Column) -> Column:
+    """Of the parts (at, n_words, removed) of a line: the runs they make up, the runs of removed ones, and their words."""
+    long = lambda n: F.lit(n).cast("long")
+    start = F.struct(long(-1).alias("end"), long(0).alias("parts"), long(-1).alias("gone"), long(0).alias("part_removed"), long(0).alias("part_words"))
+
+    def add(a: Column, x: Column) -> Column:
+        end = x["at"] + x["n_words"]
+        return F.struct(
+            F.greatest(a["end"], end).alias("end"), (a["parts"] + F.when(x["at"] > a["end"], 1).otherwise(0)).alias("parts"),
+            F.when(x["removed"], F.greatest(a["gone"], end)).otherwise(a["gone"]).alias("gone"),
+            (a["part_removed"] + F.when(x["removed"] & (x["at"] > a["gone"]), 1).otherwise(0)).alias("part_removed"),
+            (a["part_words"] + F.when(x["removed"], F.greatest(long(0), end - F.greatest(a["gone"], x["at"]))).otherwise(0)).alias("part_words"))
+
+    return F.aggregate(F.array_sort(spans), start, add)
 
 
 def substring_dedup(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
@@ -221,9 +331,9 @@ def substring_dedup(docs: DataFrame, similarity: float = 0.8, recall: float = 0.
     # A segment counts where its whole paragraph doesn't.
     lines = hits.withColumn("line", line).groupBy("doc_id", "line").agg(
         F.max("whole").alias("whole"), F.max(F.when(F.col("whole"), F.col("removed"))).alias("line_removed"),
-        F.max(F.when(F.col("whole"), F.col("n_words"))).alias("line_words"), F.count(F.when(~F.col("whole"), 1)).alias("parts"),
-        F.sum(F.when(~F.col("whole") & F.col("removed"), F.col("n_words")).otherwise(0)).alias("part_words"),
-        F.sum(F.when(~F.col("whole") & F.col("removed"), 1).otherwise(0)).alias("part_removed"), F.collect_set("keeper").alias("keepers"))
+        F.max(F.when(F.col("whole"), F.col("n_words"))).alias("line_words"), F.collect_set("keeper").alias("keepers"),
+        F.collect_list(F.when(~F.col("whole"), F.struct(F.col("place").bitwiseAND((1 << LINE_BITS) - 1).alias("at"), "n_words", "removed"))).alias("spans"))
+    lines = lines.withColumn("runs", runs(F.col("spans"))).select("*", "runs.parts", "runs.part_removed", "runs.part_words")
     gone = F.coalesce("line_removed", F.lit(False))
     per = lines.groupBy("doc_id").agg(
         F.sum(F.when(F.col("whole"), 1).otherwise(F.col("parts"))).alias("n_shared"),

@@ -121,6 +121,38 @@ def test_passages_in_lines_and_inside_lines(spark):
     assert two == {1: 0, 2: 1}
 
 
+def test_seeds_and_windows():
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 2**64, 400, dtype=np.uint64)
+    for size in (2, 20, 50):
+        assert len(set(substring_dedup.grams(h, size).tolist())) == 400 - size + 1
+        assert (substring_dedup.grams(h[7:], size) == substring_dedup.grams(h, size)[7:]).all() and len(substring_dedup.grams(h[: size - 1], size)) == 0
+    left = np.concatenate([np.arange(150, 0, -1), np.arange(49, 0, -1), np.arange(201, 0, -1)])
+    at, _ = substring_dedup.seeds(h, left)
+    for w in range(400):
+        if left[w] >= 50:
+            mine = at[(at >= w) & (at <= w + 30)]
+            assert len(mine) and (substring_dedup.grams(h, 20)[w : w + 31].argmin() + w) in mine
+    assert not ((at >= 131) & (at < 199)).any()
+
+
+def test_passages_of_fifty_words_are_found_from_end_to_end(spark):
+    rng = random.Random(41)
+    some = lambda n: " ".join(f"w{rng.randrange(30000)}" for _ in range(n))
+    rows, words = [], {}
+    for k in range(60):
+        p = some(50 + k % 3 * 10)
+        own = p if k % 4 == 0 else f"{some(30)} {p} {some(40)}"
+        rows += [(2 * k, own), (2 * k + 1, f"{some(35)} {p.upper()} {some(20)}")]
+        words[2 * k + 1] = len(p.split())
+    rows += [(900, f"{some(60)} {rows[1][1]}\n{some(60)}"), (901, "same " * 200)]
+    got = {r.doc_id: r for r in substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got[i].removed_words for i in words} == words
+    assert all((got[i].n_shared, got[i].n_removed, list(got[i].keepers)) == (1, 1, [i - 1]) for i in words if i > 1)
+    assert all((got[i - 1].n_shared, got[i - 1].n_removed) == (1, 0) for i in words)
+    assert got[900].removed_words == len(rows[1][1].split()) and got[901].removed_words == 150
+
+
 def hub_of(rng, variants):
     """A paragraph of 60 words and variants of it with one word changed each: similar to it, not to each other."""
     base = [f"w{rng.randrange(30000)}" for _ in range(60)]
