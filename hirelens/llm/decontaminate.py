@@ -6,9 +6,11 @@ benchmark items, so a question asked again with other values still matches.
 The values then have to be consistent: within a document and an item, a value
 of the item must always stand for the same value of the document, and the other
 way round; windows that break the mapping most windows agree on don't count.
+Names show by their case, so windows also meet folded: all words in lower case
+and only numbers and units as placeholders.  A copy in another case is found so.
 
 A document is contaminated by an item if at least ``similarity`` of the item's
-windows are found, or a run of ``run_words`` words in a row.
+windows are found, or a run of ``run_words`` words in a row, by templates or by folded windows.
 
 Cases: null and empty texts match nothing, nor do items without id or text, or
 of fewer than ``window`` words.  Windows with fewer than three words beside
@@ -41,25 +43,42 @@ def placeholder(word: Column) -> Column:
     return F.when(word.startswith(MARK), number).when(word.isin(UNITS), "u")
 
 
+def folded(word: Column) -> Column:
+    """The word without the mark of a name."""
+    return F.when(word.startswith(MARK) & ~F.substring(word, 2, 1).between("0", "9"), F.substring(word, 2, 1_000_000_000)).otherwise(word)
+
+
 def template_windows(table: DataFrame, keys: list[str], window: int) -> DataFrame:
-    """``keys``, pos, wh (hash of the template window) and slots (its values) of every window of ``text``."""
+    """``keys``, pos, kind, wh (hash of the template window) and slots (its values) of every window of ``text``.
+
+    kind: 1 with names as slots, 2 folded, 3 where both are the same.
+    """
     marked = table.select(*keys, F.regexp_replace(F.coalesce("text", F.lit("")), SLOT, MARK + "$0").alias("__m"))
     split = marked.select(*keys, F.contains("__m", F.lit(MARK)).alias("__has"),
                           F.filter(F.split(F.lower("__m"), BETWEEN), lambda x: x != "").alias("__w"))
+    hashed = lambda x: F.xxhash64(F.coalesce(placeholder(x), x))
+    value = lambda x: F.when(placeholder(x).isNotNull(), x)
     parts = split.where(F.size("__w") >= window).select(
         *keys,
-        F.transform("__w", lambda x: F.xxhash64(F.coalesce(placeholder(x), x))).alias("__h"),
-        F.when(F.col("__has"), F.transform("__w", lambda x: F.when(placeholder(x).isNotNull(), x))).alias("__s"),
+        F.transform("__w", hashed).alias("__h"),
+        F.when(F.col("__has"), F.transform("__w", value)).alias("__s"),
+        F.when(F.col("__has"), F.transform("__w", lambda x: hashed(folded(x)))).alias("__fh"),
+        F.when(F.col("__has"), F.transform("__w", lambda x: value(folded(x)))).alias("__fs"),
     )
 
-    def one(i: Column) -> Column:
-        hashes = [F.get("__h", i + k) for k in range(window)]
-        values = [F.get("__s", i + k) for k in range(window)]
-        slots = F.when(F.col("__s").isNull(), "").otherwise(F.concat_ws(VALUE, *values))
-        return F.struct(F.xxhash64(*hashes).alias("wh"), slots.alias("slots"))
+    def one(i: Column, h: str, s: str, kind: int) -> Column:
+        hashes = [F.get(h, i + k) for k in range(window)]
+        values = [F.get(s, i + k) for k in range(window)]
+        slots = F.when(F.col(s).isNull(), "").otherwise(F.concat_ws(VALUE, *values))
+        return F.struct(F.lit(kind).alias("kind"), F.xxhash64(*hashes).alias("wh"), slots.alias("slots"))
+
+    def both(i: Column) -> Column:
+        same = F.col("__fh").isNull() | (F.slice("__h", i + 1, window) == F.slice("__fh", i + 1, window))
+        return F.when(same, F.array(one(i, "__h", "__s", 3))).otherwise(F.array(one(i, "__h", "__s", 1), one(i, "__fh", "__fs", 2)))
 
-    every = F.transform(F.sequence(F.lit(0), F.size("__h") - window), one)
-    return parts.select(*keys, F.posexplode(every).alias("pos", "__x")).select(*keys, "pos", "__x.wh", "__x.slots")
+    every = F.transform(F.sequence(F.lit(0), F.size("__h") - window), both)
+    rows = parts.select(*keys, F.posexplode(every).alias("pos", "__xs")).select(*keys, "pos", F.explode("__xs").alias("__x"))
+    return rows.select(*keys, "pos", "__x.kind", "__x.wh", "__x.slots")
 
 
 def slot_values(slots: Column) -> Column:
@@ -77,14 +96,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 5, similarity:
     inside = items.where(F.col("text").rlike(r"^\p{Lu}")).select("item_id", F.concat(F.lit(MARK), "text").alias("text"))
     bench = template_windows(items, ["item_id"], window).union(template_windows(inside, ["item_id"], window).where("pos = 0"))
     bench = bench.where(F.size(slot_values(F.col("slots"))) <= window - 3).distinct()
-    bench = bench.select("item_id", F.col("pos").alias("q"), "wh", F.col("slots").alias("item_slots"))
-    size = bench.groupBy("item_id").agg(F.countDistinct("q").alias("item_windows"))
+    # Templates are aligned with templates, folded windows with folded ones.
+    kinds = F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array("kind"))
+    bench = bench.select("item_id", F.col("pos").alias("q"), F.explode(kinds).alias("path"), "wh", F.col("slots").alias("item_slots")).distinct()
+    size = bench.groupBy("item_id", "path").agg(F.countDistinct("q").alias("item_windows"))
     side = F.broadcast(bench) if bench.count() <= BROADCAST_WINDOWS else bench
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    hits = template_windows(texts, ["doc_id", "text_hash"], window).join(side, "wh").withColumn("diag", F.col("pos") - F.col("q"))
+    hits = template_windows(texts, ["doc_id", "text_hash"], window).join(side, "wh").where(F.col("kind").bitwiseAND(F.col("path")) != 0).drop("kind").withColumn("diag", F.col("pos") - F.col("q"))
 
     # Each window of the item takes its place in the alignment that most windows share.
-    pair = ["doc_id", "text_hash", "item_id"]
+    pair = ["doc_id", "text_hash", "item_id", "path"]
     hits = hits.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*pair, "diag")))
     best = F.row_number().over(Window.partitionBy(*pair, "q").orderBy(F.desc("n"), "pos"))
     hits = hits.withColumn("best", best).where("best = 1")
@@ -102,8 +123,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 5, similarity:
     windows = windows.withColumn("island", island)
     windows = windows.withColumn("run", F.count(F.lit(1)).over(Window.partitionBy(*pair, "diag", "island")))
     found = windows.groupBy(*pair).agg(F.countDistinct("q").alias("n"), (F.max("run") + window - 1).alias("longest"))
-    found = found.join(size, "item_id").withColumn("found", F.col("n") / F.col("item_windows"))
-    return found.select(*pair, "found", "longest", ((F.col("found") >= similarity) | (F.col("longest") >= run_words)).alias("contaminated"))
+    found = found.join(size, ["item_id", "path"]).withColumn("found", F.col("n") / F.col("item_windows"))
+    found = found.withColumn("contaminated", (F.col("found") >= similarity) | (F.col("longest") >= run_words))
+    return found.groupBy("doc_id", "text_hash", "item_id").agg(*[F.max(c).alias(c) for c in ("found", "longest", "contaminated")])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how: object) -> DataFrame:

@@ -200,3 +200,14 @@ def test_decontamination_checks_slots(spark):
     docs = spark.createDataFrame([(1, other), (2, same)], "doc_id long, text string")
     found = decontaminate.matches(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).where("contaminated")
     assert [r.doc_id for r in found.collect()] == [2]
+
+
+def test_decontamination_finds_copies_in_another_case(spark):
+    items = [(1, "The old mill in Denver, which Anna Smith bought for 40 dollars, stands beside a river, near Lake Erie, where 15 ducks swim all day"),
+             (2, "How many of the seven green bottles are left standing on the wall when the wind has gone, said Tom, after a long night")]
+    far = "some words of a quite different kind, stand here and there, before it ends"
+    other = items[0][1].replace("40", "85").replace("15", "20")
+    texts = [c for _, t in items for c in (t.upper(), t.title(), t.lower(), f"{far}, {t.upper()}, {far}", f"{far.title()}, {t.title()}")]
+    rows = list(enumerate([*texts, other.upper(), far, far.upper(), far.title()]))
+    found = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).where("contaminated")
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [*[(i, 1 + i // 5) for i in range(10)], (10, 1)]
