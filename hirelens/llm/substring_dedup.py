@@ -193,23 +193,36 @@ def repeated_windows(docs: DataFrame, seeded: DataFrame) -> DataFrame:
         shingles = Shingler(SHINGLE)
         for part in parts:
             for texts in batches(part["text"]):
+                found, ids, lines, bases, marks, base = [], [], [], [], [], 0
                 for doc_id, text, some in zip(part.loc[texts.index, "doc_id"], texts, part.loc[texts.index, "some"], strict=True):
                     some = np.sort(some)
-                    line, at = some >> LINE_BITS, (some & ((1 << LINE_BITS) - 1)) - 1
-                    asked, out = set(line.tolist()), []
-                    for i, words in lines_of(text):
-                        if i not in asked or len(words) < PASSAGE:
+                    numbers, first = np.unique(some >> LINE_BITS, return_index=True)
+                    split = text.encode("utf-8", "surrogatepass").lower().split(b"\n")
+                    for i, at in zip(numbers.tolist(), np.split((some & ((1 << LINE_BITS) - 1)) - 1, first[1:]), strict=True):
+                        words = split[i].split() if i < len(split) else []
+                        at = at[at <= len(words) - SEED]
+                        if len(words) < PASSAGE or not len(at):  # a doc_id may repeat with another text
                             continue
-                        mine = at[np.searchsorted(line, i) : np.searchsorted(line, i, side="right")]
-                        last = len(words) - PASSAGE
-                        ends = np.zeros(len(words) + 2, dtype=np.int64)
+                        found += words
+                        ids.append(doc_id)
+                        lines.append(i)
+                        bases.append(base)
                         # A window that holds the seed begins at most PASSAGE - SEED words before it.
-                        np.add.at(ends, np.clip(mine - (PASSAGE - SEED), 0, len(words)), 1)
-                        np.add.at(ends, np.clip(mine + 1, 0, len(words) + 1), -1)
-                        start = np.flatnonzero(np.cumsum(ends)[: last + 1] > 0)
-                        out.append(pd.DataFrame({"w": grams(shingles.word_hashes(words), PASSAGE)[start].view(np.int64), "doc_id": doc_id, "place": (i << LINE_BITS) + start + 1}))
-                    if out:
-                        yield pd.concat(out)
+                        marks.append((np.maximum(at - (PASSAGE - SEED), 0) + base, at + 1 + base))
+                        base += len(words)
+                if not found:
+                    continue
+                change = np.zeros(base + 1, dtype=np.int64)
+                for begin, end in marks:
+                    np.add.at(change, begin, 1)
+                    np.add.at(change, end, -1)
+                bases = np.array(bases)
+                own = np.repeat(np.arange(len(bases)), np.diff(np.append(bases, base)))
+                left = np.append(bases[1:], base)[own] - np.arange(base)
+                start = np.flatnonzero((np.cumsum(change)[:-1] > 0) & (left >= PASSAGE))
+                own = own[start]
+                yield pd.DataFrame({"w": grams(shingles.word_hashes(found), PASSAGE)[start].view(np.int64), "doc_id": np.array(ids)[own],
+                                    "place": (np.array(lines)[own] << LINE_BITS) + start - bases[own] + 1})
 
     spot = F.struct("doc_id", "place")
     twice = lambda t, key: t.groupBy(key).agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first <> last").select(F.col(key).alias("k"), "first")
