@@ -3,7 +3,10 @@
 Every DOM node has a density: its characters per tag, adjusted by the share of
 them inside links.  A node's density sum adds up its children's densities; the
 node with the largest sum is the main block.  The smallest density on the path
-from it to body is the threshold by which other parts of the page may join.
+from it to body is the threshold by which other parts of the page may join: the
+subtrees beside the path, single paragraphs and headings too, and the runs of
+text that a node of the path holds directly, unless half of a part is links.
+A heading is short, so it joins with the part that it stands before.
 Parts whose tag, role, class or id says menu, advert, form, notice or comments
 are taken out before densities are computed.
 
@@ -40,6 +43,7 @@ nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars side wi
 cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social
 comment comments commentlist respond reply replies disqus discussion related recommended recommendations pagination pager skip toolbar""".split())
 HEADERS = frozenset({"header", "hgroup"})
+HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6"})
 ARTICLE = frozenset({"article", "main"})
 SPLIT = re.compile(r"[^a-z0-9]+")
 
@@ -126,11 +130,24 @@ def in_order(root: Node) -> list[Node]:
     return out
 
 
-def measure(nodes: list[Node]) -> None:
-    """Composite text density of every node, and the sum over its children."""
+def density(chars: int, tags: int, link_chars: int, link_tags: int, linked: float) -> float:
+    """Composite text density; ``linked`` is the share of the page's text inside links."""
+    if not chars:
+        return 0.0
+    tags, links = max(1, tags), max(1, link_tags)
+    base = math.log(chars / max(1, chars - link_chars) * link_chars + linked * chars + math.e)
+    return chars / tags * max(0.0, math.log(max(1.0, chars / max(1, link_chars) * tags / links)) / base)
+
+
+def letters(text: str) -> int:
+    return len(text) - text.count(" ") - text.count("\n")
+
+
+def measure(nodes: list[Node]) -> float:
+    """Composite text density of every node, and the sum over its children; gives the linked share of the page."""
     for n in reversed(nodes):
         kids = n.children()
-        own = sum(len(p) - p.count(" ") - p.count("\n") for p in n.parts if isinstance(p, str))
+        own = sum(letters(p) for p in n.parts if isinstance(p, str))
         n.chars = own + sum(k.chars for k in kids)
         n.tags = sum(k.tags + 1 for k in kids)
         n.link_chars = n.chars if n.tag == "a" else sum(k.link_chars for k in kids)
@@ -138,18 +155,32 @@ def measure(nodes: list[Node]) -> None:
     body = nodes[0]
     linked = body.link_chars / max(1, body.chars)
     for n in nodes:
-        plain, tags, links = n.chars - n.link_chars, max(1, n.tags), max(1, n.link_tags)
-        if not n.chars:
-            n.density = 0.0
-            continue
-        base = math.log(n.chars / max(1, plain) * n.link_chars + linked * n.chars + math.e)
-        n.density = n.chars / tags * max(0.0, math.log(max(1.0, n.chars / max(1, n.link_chars) * tags / links)) / base)
+        n.density = density(n.chars, n.tags, n.link_chars, n.link_tags, linked)
     for n in nodes:
         n.total = sum(k.density for k in n.children())
+    return linked
 
 
-def main_nodes(nodes: list[Node]) -> set[int]:
-    """Ids of the subtrees that make up the main text."""
+def text_runs(node: Node) -> Iterator[list[int]]:
+    """Positions in ``node.parts`` of its direct text with the inline elements in it, a list for each run between blocks."""
+    run: list[int] = []
+    for k, p in enumerate(node.parts):
+        if isinstance(p, str) or (p.tag not in BLOCK and not p.drop and not any(c.tag in BLOCK for c in in_order(p))):
+            run.append(k)
+        elif isinstance(p, Node) and p.tag in BLOCK and run:
+            yield run
+            run = []
+    if run:
+        yield run
+
+
+def is_heading(node: Node) -> bool:
+    """A heading, or a header of headings alone."""
+    return node.tag in HEADINGS or (node.tag in HEADERS and node.chars == sum(k.chars for k in node.children() if k.tag in HEADINGS))
+
+
+def main_nodes(nodes: list[Node], linked: float) -> set[int | tuple[int, int]]:
+    """Ids of the subtrees that make up the main text; (id, position) of text that a node around them holds."""
     best = max(nodes, key=lambda n: n.total)
     if best.total <= 0:
         return {id(nodes[0])}
@@ -163,19 +194,32 @@ def main_nodes(nodes: list[Node]) -> set[int]:
     while up is not None:
         path.add(id(up))
         up = up.parent
-    stack = [n for n in nodes[0].children()] if nodes[0] is not best else []
+    stack = [nodes[0]] if nodes[0] is not best else []
     while stack:
         n = stack.pop()
-        if n is best:
-            continue
-        if id(n) in path:
-            stack.extend(n.children())
-        elif n.density >= threshold and n.total >= 0.25 * best.total and n.link_chars * 2 < n.chars:
-            chosen.add(id(n))
+        for run in text_runs(n):
+            parts = [n.parts[k] for k in run]
+            kids = [p for p in parts if isinstance(p, Node)]
+            if id(best) in map(id, kids) or any(id(k) in path for k in kids):
+                continue
+            chars = sum(letters(p) if isinstance(p, str) else p.chars for p in parts)
+            links = sum(k.link_chars for k in kids)
+            if links * 2 < chars and density(chars, sum(k.tags + 1 for k in kids), links, sum(k.link_tags + (k.tag == "a") for k in kids), linked) >= threshold:
+                chosen.update((id(n), k) for k in run)
+        joined = False
+        for k in reversed([k for k in n.children() if k.chars]):
+            if id(k) in path:
+                joined = True
+                if k is not best:
+                    stack.append(k)
+                continue
+            joined = (k.density >= threshold or (joined and is_heading(k))) and k.link_chars * 2 < k.chars
+            if joined:
+                chosen.add(id(k))
     return chosen
 
 
-def blocks(root: Node, chosen: set[int]) -> list[str]:
+def blocks(root: Node, chosen: set[int | tuple[int, int]]) -> list[str]:
     """Texts of the blocks inside the chosen subtrees, in page order."""
     out, line, stack = [], [], [(root, id(root) in chosen, False)]
 
@@ -198,7 +242,7 @@ def blocks(root: Node, chosen: set[int]) -> list[str]:
             line.append(" ")
             continue
         stack.append((node, inside, True))
-        stack.extend((p, inside or id(p) in chosen, False) for p in reversed(node.parts))
+        stack.extend((node.parts[k], inside or (id(node), k) in chosen or id(node.parts[k]) in chosen, False) for k in range(len(node.parts) - 1, -1, -1))
     flush()
     return out
 
@@ -211,8 +255,8 @@ def main_text(html: str | None) -> str:
     tree.feed(html)
     tree.close()
     nodes = in_order(tree.root)
-    measure(nodes)
-    return "\n".join(blocks(tree.root, main_nodes(nodes)))
+    linked = measure(nodes)
+    return "\n".join(blocks(tree.root, main_nodes(nodes, linked)))
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:

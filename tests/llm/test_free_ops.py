@@ -246,6 +246,20 @@ def test_main_text_of_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_main_text_beside_the_main_block():
+    say = lambda k, n: " ".join(f"word{k}x{j}" for j in range(n))
+    menu = '<div><a href="1">One link</a> <a href="2">Another link</a> <a href="3">A third link</a></div>'
+    a, b, c, d, head = say(1, 40), say(2, 40), say(3, 30), say(4, 25), "A headline of the page that says what it is about"
+    cases = [
+        (f"<body>{menu}<h1>{head}</h1><p>{c}</p><div><p>{a}</p><p>{b}</p></div></body>", [head, c, a, b]),
+        (f"<body>{menu}<div><p>{a}</p><p>{b}</p><p>{a}</p><p>{b}</p><p>{a}</p></div><div><p>{c}</p></div><div><p>{d}</p></div></body>", [a, b, a, b, a, c, d]),
+        (f"<body>{menu}<article><header><h1>{head}</h1></header><div><div class=body><p>{a}</p><p>{b}</p></div></div></article></body>", [head, a, b]),
+        (f"<body>{menu}<div>{c} <b>bold</b> {d}<div><p>{a}</p><p>{b}</p></div><pre>{d}</pre></div></body>", [f"{c} bold {d}", a, b, d]),
+    ]
+    for page, expected in cases:
+        assert html_text.main_text(page) == "\n".join(expected)
+
+
 def test_main_text_of_given_pages(spark):
     import html
 
