@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm import decontaminate, html_text, line_dedup, mixing, near_dedup, pii, quality, substring_dedup, topk, toxicity
+from hirelens.llm import (decontaminate, exact_dedup, html_text, line_dedup, mixing, near_dedup, periodic_runs, pii, prefix_trie, quality,
+                          substring_dedup, topk, toxicity)
 from hirelens.llm.common import read_table
 
 
@@ -58,7 +59,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_html, op3_toxicity, op4_substring_dedup, op5_mixing, op6_pii, op7_quality, op8_decontaminate, op9_near_dedup, op10_line_dedup)}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.prefix_trie(prefix_trie.rebuild(prefix_trie.sequences(turns))).drop("node")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_html, op3_toxicity, op4_substring_dedup, op5_mixing, op6_pii, op7_quality, op8_decontaminate,
+                                   op9_near_dedup, op10_line_dedup, op11_exact_dedup, op12_prefix_trie, op13_periodic_runs)}
 
 ORACLES = {
     "op1_topk": """
@@ -107,4 +122,46 @@ m AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.keeper AS gone FROM k LEFT
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op11_exact_dedup": r"""
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS sha FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, sha AS text_sha256
+FROM d WINDOW w AS (PARTITION BY sha)""",
+    "op12_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  -- crc32 bit by bit: a byte is mixed in, then eight shifts (marked -1) follow
+  SELECT c, xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+      lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, y: CASE WHEN y >= 0 THEN xor(a, y) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 4 AS h
+  FROM (SELECT DISTINCT c FROM t)
+), first_turns AS (SELECT ids.c, t.i AS d, t.r, t.x FROM ids JOIN t ON t.c = ids.c - ids.c % 20 AND t.i <= ids.h),
+n_first AS (SELECT c, count(*) AS n FROM first_turns GROUP BY c),
+rebuilt AS (
+  SELECT * FROM first_turns
+  UNION ALL SELECT ids.c, coalesce(n, 0) + t.i - ids.h, t.r, t.x FROM ids JOIN t ON t.c = ids.c AND t.i > ids.h LEFT JOIN n_first f ON f.c = ids.c
+), p AS (
+  SELECT c, d, x, sha256(string_agg(md5(length(r) || ':' || r || x), '') OVER (PARTITION BY c ORDER BY d)) AS k FROM rebuilt
+), m AS (
+  SELECT c, d, x, k, lag(k, 1, 'root') OVER (PARTITION BY c ORDER BY d) AS up FROM p
+  UNION ALL SELECT c, 0, '', 'root', NULL FROM ids
+), node AS (
+  SELECT k, any_value(d) AS d, min(c) AS c, any_value(up) AS up, count(*) AS n,
+    (count(*) - 1) * len(regexp_extract_all(any_value(x), '[^\x20\x09-\x0D]+')) AS saved
+  FROM m GROUP BY k
+), kids AS (SELECT up AS k, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY up),
+below AS (
+  SELECT a.k, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum(o.saved) AS saved
+  FROM node o LEFT JOIN kids ON kids.k = o.k JOIN m a ON a.c = o.c AND a.d <= o.d GROUP BY a.k
+), finish AS (
+  SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS sha
+  FROM (SELECT *, d = max(d) OVER (PARTITION BY c) AS final FROM m) WHERE final GROUP BY k
+)
+SELECT node.c AS conv_id, CAST(node.d AS BIGINT) AS depth, parent.c AS parent_conv_id, node.n AS n_convs, coalesce(kids.n, 0) AS n_children,
+  CAST(below.leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, coalesce(finish.sha, sha256('')) AS ends_sha256
+FROM node LEFT JOIN node parent ON parent.k = node.up LEFT JOIN kids ON kids.k = node.k
+JOIN below ON below.k = node.k LEFT JOIN finish ON finish.k = node.k""",
 }
