@@ -32,7 +32,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return int(v) if v.is_integer() else round(v, 6)  # pandas turns whole numbers with nulls into floats
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):
