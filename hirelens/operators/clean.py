@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hirelens.functions.text import all_obfuscated, any_obfuscated, is_obfuscated, safe_date, safe_double
 from hirelens.operators.enrich import drop_obfuscated_rows, require_columns
 
 __all__ = ["drop_obfuscated_rows", "drop_rows_with_any_obfuscated", "null_profile", "apply_overrides",
-           "safe_casts", "require_columns", "observe_dropped", "is_obfuscated"]
+           "safe_casts", "require_columns", "drop_obfuscated_counted", "is_obfuscated"]
 
 
 def _string_cols(df: DataFrame) -> set[str]:
@@ -22,14 +22,16 @@ def drop_rows_with_any_obfuscated(df: DataFrame, cols: list[str] | None = None)
     return df.where(~any_obfuscated(cols, _string_cols(df)))
 
 
-def observe_dropped(df: DataFrame, cols: list[str], name: str = "obfuscated") -> DataFrame:
-    """Attach a metric with the number of rows the all-obfuscated filter drops.
+def drop_obfuscated_counted(df: DataFrame, cols: list[str]) -> tuple[DataFrame, Observation]:
+    """P4 + P6: the rows that stay, and an observation of ``rows`` (read) and ``dropped``.
 
-    ``Observation`` metrics are collected with the first action on the
-    returned frame — no extra job.
+    The counts are collected by the first action on the returned frame, without a
+    job of their own; read ``observation.get`` after it.
     """
-    return df.observe(name, F.count_if(all_obfuscated(cols, _string_cols(df))).alias("dropped"),
-                      F.count(F.lit(1)).alias("rows"))
+    seen = Observation()
+    gone = all_obfuscated(cols, _string_cols(df))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(gone).alias("dropped"))
+    return counted.where(~gone), seen
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -303,26 +303,6 @@ def header_from_pages(spark, d):
                     fallback_header(F.col("url"), title, first_p).alias("fallback_header"))
 
 
-# ------------------------------------------------------------------ streaming driver of U3
-@register("stream_merge_keep_first", _merge_sql("ASC", "min"))
-def stream_merge_keep_first(spark, d):
-    """U3 through Structured Streaming: both batches land as files, an availableNow
-    file stream merges them in order into a versioned master table."""
-    from hirelens.session import scratch_path
-    from hirelens.streaming.ingest import VersionedTable, merge_stream
-    old, new = _batches(spark, d)
-    root = scratch_path(spark, "stream-merge")
-    incoming = f"{root}/incoming"
-    # maxFilesPerTrigger=1 is not needed: batches are merged in file order by _batch inside the merge.
-    old.write.mode("overwrite").parquet(f"{incoming}/batch=0")
-    master = VersionedTable(spark, f"{root}/master")
-    master.commit(merge.dedupe(spark.read.parquet(f"{incoming}/batch=0").drop("batch"), ["link"], "first"))
-    new.write.mode("overwrite").parquet(f"{incoming}/batch=1")
-    schema = new.schema
-    out = merge_stream(spark, f"{incoming}/batch=1", schema, master, f"{root}/checkpoint", ["link"], "first")
-    return _out(out)
-
-
 # ------------------------------------------------------------------ sources / re-extraction / join forms
 @register("bronze_csv_roundtrip", E + """
 SELECT id, title, company, location, date_posted FROM exp_postings""")
@@ -397,17 +377,3 @@ def missing_salary_rows(spark, d):
     """Postings whose salary is missing."""
     from hirelens.plans.common import silver
     return silver(spark, d).where(F.col("avg_salary_annual_usd").isNull()).select("id", "title")
-
-
-@register("stream_merge_keep_last", _merge_sql("DESC", "max"))
-def stream_merge_keep_last(spark, d):
-    """U2 through Structured Streaming: the newer batch replaces rows with the same key."""
-    from hirelens.session import scratch_path
-    from hirelens.streaming.ingest import VersionedTable, merge_stream
-    old, new = _batches(spark, d)
-    root = scratch_path(spark, "stream-merge-last")
-    master = VersionedTable(spark, f"{root}/master")
-    master.commit(merge.dedupe(old, ["link"], "last"))
-    new.write.mode("overwrite").parquet(f"{root}/incoming")
-    out = merge_stream(spark, f"{root}/incoming", new.schema, master, f"{root}/checkpoint", ["link"], "last")
-    return _out(out)

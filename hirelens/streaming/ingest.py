@@ -1,77 +1,72 @@
-"""Incremental ingest as Structured Streaming (a second driver for U2/U3).
-
-Monthly dumps land as files in an incoming folder.  A file-source stream with
-``trigger(availableNow=True)`` picks up every file not yet seen (the
-checkpoint remembers them, so a restart after a lost executor or driver
-re-runs only unfinished batches), and ``foreachBatch`` merges each
-micro-batch into the master table:
-
-* the master is versioned (``v00001``, ``v00002``…) in the shared folder;
-  a batch reads the current version and writes the next one, so a table is
-  never overwritten while it is being read, and a failed batch leaves the
-  previous version intact;
-* the merge is the batch operator (anti join + union), so streaming and
-  batch give the same table.
-"""
-
-from __future__ import annotations
-
-import os
-
-from pyspark.sql import DataFrame, SparkSession
-
-from hirelens.operators import merge
-
+"""Incremental ingest as Structured Streaming (U2 / U3 over landing files).
 
-class VersionedTable:
-    """A Parquet table whose versions live side by side; the newest one is current."""
+Two drivers of the same merges:
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-
-    def _versions(self) -> list[str]:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        done = [n for n in names if n.startswith("v") and fs.exists(jvm.org.apache.hadoop.fs.Path(
-            os.path.join(self.root, n, "_SUCCESS")))]
-        return sorted(done)
-
-    def current(self) -> DataFrame | None:
-        v = self._versions()
-        return self.spark.read.parquet(os.path.join(self.root, v[-1])) if v else None
-
-    def commit(self, df: DataFrame) -> DataFrame:
-        v = self._versions()
-        nxt = f"v{len(v) + 1:05d}"
-        df.write.mode("overwrite").parquet(os.path.join(self.root, nxt))
-        return self.spark.read.parquet(os.path.join(self.root, nxt))
+* :func:`first_of_stream`: keep-first as a stateful stream.  The state store
+  remembers the keys seen within the watermark; every micro-batch appends only
+  rows with new keys to the output files.  Nothing is rewritten, state is
+  bounded by the watermark, and a restart goes on from the checkpoint.
+* :func:`merge_stream`: every micro-batch is merged into a
+  :class:`~hirelens.operators.master.BucketedMaster`, for keep-last or for
+  duplicates at any distance.  Appends to the master may be repeated without
+  harm, so a micro-batch that is run again after a failure changes nothing.
 
+Files are taken in the order of their modification times, ``max_files`` per
+micro-batch, until none is left (``availableNow``).
+"""
 
-def merge_stream(spark: SparkSession, incoming: str, schema, table: VersionedTable, checkpoint: str,
-                 key: list[str] | None, keep: str = "first") -> DataFrame:
-    """Run the stream until every available file is merged; return the current master."""
-    merge_fn = merge.merge_keep_first if keep == "first" else merge.merge_keep_last
+from __future__ import annotations
 
-    def apply(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        cur = table.current()
-        if cur is None:
-            table.commit(merge.dedupe(batch, key, keep))
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hirelens.operators.master import BucketedMaster
+
+LANDED = "_landed"
+
+
+def landing_stream(spark: SparkSession, incoming: str, schema: T.StructType, max_files: int | None = 1) -> DataFrame:
+    """Parquet files of ``incoming`` (a path or glob) as a stream, with the time each file was written."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(incoming).select(*schema.names, F.col("_metadata.file_modification_time").alias(LANDED))
+
+
+def first_of_stream(spark: SparkSession, incoming: str, schema: T.StructType, key: str, out: str, checkpoint: str,
+                    within: str = "400 days", max_files: int | None = 1, order: list[str] | None = None) -> int:
+    """U3 with state: append the first row of every key to ``out``; returns the number of micro-batches run.
+
+    A key that comes again within ``within`` of its first file is dropped.
+    Rows without a key are dropped only if the whole row (but for the ``order``
+    columns) came before.  Rows that repeat a key inside one micro-batch are not
+    ordered, so each landing file must hold a key once (``merge.dedupe`` it when
+    it lands).
+    """
+    rows = landing_stream(spark, incoming, schema, max_files).withWatermark(LANDED, within)
+    data = [c for c in schema.names if c not in (order or [])]
+    keyed = rows.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    whole = rows.where(F.col(key).isNull()).dropDuplicatesWithinWatermark(data)
+    query = (keyed.unionByName(whole).drop(LANDED).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
+    query.awaitTermination()
+    return len([p for p in query.recentProgress if p["numInputRows"] > 0])
+
+
+def merge_stream(spark: SparkSession, incoming: str, schema: T.StructType, master: BucketedMaster, checkpoint: str,
+                 keep: str = "first", max_files: int | None = 1) -> int:
+    """Merge every landed file into ``master``; returns the number of rows that were new (keep-first), else 0."""
+    new = 0
+
+    def apply(batch: DataFrame, _epoch: int) -> None:
+        nonlocal new
+        if keep == "first":
+            new += master.append_new(batch.drop(LANDED))
         else:
-            table.commit(merge_fn(cur, batch, key))
-
-    q = (spark.readStream.schema(schema).parquet(incoming)
-         .writeStream.foreachBatch(apply)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    return table.current()
-
+            master.upsert(batch.drop(LANDED))
 
-__all__ = ["VersionedTable", "merge_stream"]
+    query = (landing_stream(spark, incoming, schema, max_files).writeStream.foreachBatch(apply)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return new

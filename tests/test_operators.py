@@ -88,13 +88,12 @@ def test_fill_missing_salary_only_where_missing(spark):
     assert out[1].currency_raw == "USD" and out[2].currency_raw == "EUR" and out[2].has_salary
 
 
-def test_observe_dropped_counts(spark):
-    from pyspark.sql import Observation  # noqa: F401  (API check)
-    from hirelens.operators.clean import drop_obfuscated_rows, observe_dropped
-    df = spark.createDataFrame([("a", "x"), ("**", None), (None, "  ")], "location string, company string")
-    observed = observe_dropped(df, ["location", "company"], "obf_metrics")
-    kept = drop_obfuscated_rows(observed, ["location", "company"])
+def test_drop_obfuscated_counts(spark):
+    from hirelens.operators.clean import drop_obfuscated_counted
+    df = spark.createDataFrame([("***", ""), ("Paris", "***"), ("--", None)], "location string, company string")
+    kept, counts = drop_obfuscated_counted(df, ["location", "company"])
     assert kept.count() == 1
+    assert counts.get == {"rows": 3, "dropped": 2}
 
 
 def test_dedupe_hot_key(spark):
