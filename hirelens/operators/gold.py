@@ -79,17 +79,18 @@ def salary_skill_stats(silver: DataFrame, approx: bool = False) -> DataFrame:
                        ["p25", "median", "p75"], count_name="count", approx=approx)
 
 
-def job_postings(silver: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
-    """Gold ``job_postings``: silver plus ``cluster`` / ``cluster_name`` when given."""
-    if clusters is None:
+def job_postings(silver: DataFrame, centres: DataFrame | None = None) -> DataFrame:
+    """Gold ``job_postings``: silver plus ``cluster`` / ``cluster_name`` by the nearest of ``centres`` (``ml.fit_centres``)."""
+    if centres is None:
         return silver
-    return silver.join(clusters.select("id", "cluster", "cluster_name"), "id", "left")
+    from hirelens.operators.ml import with_clusters
+    return with_clusters(silver, centres)
 
 
-def build_gold(silver: DataFrame, clusters: DataFrame | None = None) -> dict[str, DataFrame]:
+def build_gold(silver: DataFrame, centres: DataFrame | None = None) -> dict[str, DataFrame]:
     """All seven gold tables as lazy DataFrames (callers persist silver once)."""
     return {
-        "job_postings": job_postings(silver, clusters),
+        "job_postings": job_postings(silver, centres),
         "skills": skills(silver),
         "job_skills": job_skills(silver),
         "companies": companies(silver),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.operators.enrich import enrich
+from hirelens.operators.ml import fit_centres, with_clusters
 from hirelens.sources import driver_tables as T
-from hirelens.sources.tables import stage
+from hirelens.sources.tables import stage_path
 
 MONEY_DIGITS = 2
 
@@ -28,35 +32,45 @@ def m2(expr: str) -> str:
     return f"CAST(floor(({expr}) * 100 + 0.5) / 100 AS DOUBLE)"
 
 
-_SILVER: dict[tuple[int, str], str] = {}
+_TABLES: dict[tuple[str, str, str], str] = {}
 
 
-def build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Templated bronze postings → enriched silver, written as a Parquet table."""
-    return stage(enrich(T.bronze_postings(spark, sf_dir)), "silver")
+def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The staged table ``name`` of ``sf_dir``: built once per application, then read back."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _TABLES.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as e:  # the folder was cleaned up: build again
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    _TABLES[key] = stage_path(build(), name)
+    return spark.read.parquet(_TABLES[key])
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver table for ``sf_dir``: built once per session, then read back.
+    """The silver table: templated bronze postings, enriched and written once.
 
     Gold and report queries read silver the way a medallion pipeline does;
     ``silver_build`` measures the enrichment itself.
     """
-    key = (id(spark), sf_dir)
-    path = _SILVER.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # folder cleaned up: rebuild
-            _SILVER.pop(key, None)
-    df = build_silver(spark, sf_dir)
-    _SILVER[key] = df.inputFiles()[0].rsplit("/", 1)[0]
-    return df
+    return _once(spark, sf_dir, "silver", lambda: enrich(T.bronze_postings(spark, sf_dir)))
+
+
+def cluster_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The K-means centres over silver: fitted once, then read back by every query."""
+    return _once(spark, sf_dir, "cluster-centres", lambda: fit_centres(silver(spark, sf_dir)))
+
+
+def clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with ``cluster`` and ``cluster_name``."""
+    return with_clusters(silver(spark, sf_dir), cluster_centres(spark, sf_dir))
 
 
 def forget_silver() -> None:
-    """Drop the per-session silver memo (call before ``drop_staged``)."""
-    _SILVER.clear()
+    """Drop the memo of staged tables (call before ``drop_staged``)."""
+    _TABLES.clear()
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

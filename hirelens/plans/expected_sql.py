@@ -133,3 +133,45 @@ exp_job_skills AS (
   FROM exp_order_skills os JOIN skill_cat sc ON sc.text_skill = os.text_skill
 )
 """
+
+
+def cluster_cte(steps: int = 10) -> str:
+    """``cte()`` and ``exp_clustered``: postings with the cluster that ``steps`` rounds of K-means give them.
+
+    Lloyd's algorithm written out in SQL over distinct skill sets: start at the
+    signatures, assign, average, repeat.
+    """
+    start = [(i, s, 1.0) for i, name in enumerate(R.CLUSTER_NAMES) for s in R.CLUSTER_SIGNATURES[name]]
+    rounds = ""
+    for i in range(steps + 1):
+        rounds += f""",
+dist{i} AS (
+  SELECT s.sid, s.n, q.j, round(q.q - 2 * coalesce(dot.dot, 0), 9) AS d
+  FROM skill_sets s CROSS JOIN (SELECT c.j, coalesce(sum(k.w * k.w), 0) AS q FROM cluster_no c LEFT JOIN k{i} k ON k.j = c.j GROUP BY c.j) q
+  LEFT JOIN (SELECT m.sid, k.j, sum(k.w) AS dot FROM set_skills m JOIN k{i} k ON k.skill = m.skill GROUP BY m.sid, k.j) dot ON dot.sid = s.sid AND dot.j = q.j
+),
+near{i} AS MATERIALIZED (SELECT sid, n, j FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY d, j) AS rn FROM dist{i}) WHERE rn = 1)"""
+        if i < steps:
+            rounds += f""",
+size{i} AS (SELECT j, sum(n) AS n FROM near{i} GROUP BY j),
+k{i + 1} AS MATERIALIZED (
+  SELECT a.j, m.skill, CAST(sum(a.n) AS DOUBLE) / any_value(z.n) AS w FROM near{i} a JOIN set_skills m ON m.sid = a.sid JOIN size{i} z ON z.j = a.j GROUP BY a.j, m.skill
+  UNION ALL SELECT * FROM k{i} WHERE j NOT IN (SELECT j FROM size{i})
+)"""
+    return cte() + f""",
+job_skill AS (SELECT DISTINCT job_id, skill FROM exp_job_skills),
+vocabulary AS (SELECT skill FROM job_skill GROUP BY skill ORDER BY count(*) DESC, skill LIMIT {R.TOP_SKILL_FEATURES}),
+job_set AS MATERIALIZED (
+  SELECT p.id, coalesce(string_agg(s.skill, ';' ORDER BY s.skill), '') AS sid
+  FROM exp_postings p LEFT JOIN (SELECT * FROM job_skill WHERE skill IN (SELECT skill FROM vocabulary)) s ON s.job_id = p.id GROUP BY p.id
+),
+skill_sets AS MATERIALIZED (SELECT sid, count(*) AS n FROM job_set GROUP BY sid),
+set_skills AS MATERIALIZED (SELECT sid, unnest(string_split(sid, ';')) AS skill FROM skill_sets WHERE sid <> ''),
+cluster_no(j, name) AS (VALUES {_values(list(enumerate(R.CLUSTER_NAMES)))}),
+signature(j, skill, w) AS (VALUES {_values(start)}),
+k0 AS (SELECT * FROM signature WHERE skill IN (SELECT skill FROM vocabulary)){rounds},
+exp_clustered AS (
+  SELECT p.*, CAST(a.j AS INTEGER) AS cluster, c.name AS cluster_name
+  FROM exp_postings p JOIN job_set s ON s.id = p.id JOIN near{steps} a ON a.sid = s.sid JOIN cluster_no c ON c.j = a.j
+)
+"""

@@ -15,15 +15,19 @@ from pyspark.sql import DataFrame
 from hirelens.session import SCRATCH, scratch_path
 
 
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and return the re-read table."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+def stage_path(df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir``; returns where."""
+    path = scratch_path(df.sparkSession, name)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and return the re-read table."""
+    return df.sparkSession.read.parquet(stage_path(df, name, partition_by))
 
 
 def drop_staged(spark) -> int:
