@@ -14,6 +14,8 @@ A7-A22, W1-W4, T1-T7, P8-P11.  Conventions:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,40 +116,67 @@ def proportions(df: DataFrame, col: str) -> DataFrame:
 
 
 _Z975 = 1.959963984540054
+#: Degrees of freedom up to which the finite series is summed; beyond, five terms in 1/ν are exact to 1e-11.
+_SERIES_DF = 400
+
+
+def t_two_sided(t: Column, v: Column) -> Column:
+    """P(|T| <= t) for a Student t with a whole number ``v`` of degrees of freedom.
+
+    The incomplete beta function at half-integers is a finite sum in the cosine
+    of θ = atan(t / sqrt(v)): its terms run over 1, 3, 5, … for odd v and over
+    0, 2, 4, … for even v.
+    """
+    theta = F.atan(t / F.sqrt(v))
+    odd = v % 2 == 1
+    c2 = F.cos(theta) * F.cos(theta)
+    n = F.floor((v - F.when(odd, 1.0).otherwise(0.0)) / 2)  # terms
+    # Odd: cos, then × 2/3 cos², 4/5 cos², …  Even: 1, then × 1/2 cos², 3/4 cos², …
+    first = F.when(odd, F.cos(theta)).otherwise(F.lit(1.0))
+    steps = F.when(n > 1, F.sequence(F.lit(1).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>"))
+    start = F.struct(first.alias("term"), first.alias("sum"))
+
+    def add(acc: Column, k: Column) -> Column:
+        ratio = F.when(odd, 2.0 * k / (2.0 * k + 1.0)).otherwise((2.0 * k - 1.0) / (2.0 * k))
+        term = acc["term"] * ratio * c2
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    total = F.when(n > 0, F.aggregate(steps, start, add, lambda acc: acc["sum"])).otherwise(F.lit(0.0))
+    return F.when(odd, (theta + F.sin(theta) * total) * (2.0 / 3.141592653589793)).otherwise(F.sin(theta) * total)
 
 
 def t_quantile_975(df_col: Column) -> Column:
-    """Student-t 0.975 quantile for ``df_col`` degrees of freedom.
+    """Student-t 0.975 quantile for a whole number of degrees of freedom from 1 on.
 
-    Cornish-Fisher expansion in 1/ν (Abramowitz & Stegun 26.7.5, four terms):
-    accurate to ~1e-4 for ν ≥ 9, which the n ≥ 10 rule guarantees.
+    Up to 400 degrees the distribution function is inverted by halving an
+    interval (the quantile lies between the normal's and 12.71, that of one
+    degree); beyond, the Cornish-Fisher expansion in 1/ν is exact to 1e-11.
     """
-    z = _Z975
     v = df_col.cast("double")
-    g1 = (z ** 3 + z) / 4
-    g2 = (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96
-    g3 = (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384
-    g4 = (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160
-    return F.lit(z) + F.lit(g1) / v + F.lit(g2) / (v * v) + F.lit(g3) / (v * v * v) + F.lit(g4) / (v * v * v * v)
+    z = _Z975
+    g = [z, (z**3 + z) / 4, (5 * z**5 + 16 * z**3 + 3 * z) / 96, (3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384,
+         (79 * z**9 + 776 * z**7 + 1482 * z**5 - 1920 * z**3 - 945 * z) / 92160]
+    far = reduce(lambda acc, c: acc / v + F.lit(c), reversed(g[:-1]), F.lit(g[-1]))
+    start = F.struct(F.lit(1.9).alias("lo"), F.lit(12.71).alias("hi"))
 
+    def halve(acc: Column, _k: Column) -> Column:
+        mid = (acc["lo"] + acc["hi"]) / 2
+        low = t_two_sided(mid, v) < 0.95
+        return F.struct(F.when(low, mid).otherwise(acc["lo"]).alias("lo"), F.when(low, acc["hi"]).otherwise(mid).alias("hi"))
 
-T_COEFFS = {
-    "z": _Z975,
-    "g1": (_Z975 ** 3 + _Z975) / 4,
-    "g2": (5 * _Z975 ** 5 + 16 * _Z975 ** 3 + 3 * _Z975) / 96,
-    "g3": (3 * _Z975 ** 7 + 19 * _Z975 ** 5 + 17 * _Z975 ** 3 - 15 * _Z975) / 384,
-    "g4": (79 * _Z975 ** 9 + 776 * _Z975 ** 7 + 1482 * _Z975 ** 5 - 1920 * _Z975 ** 3 - 945 * _Z975) / 92160,
-}
+    near = F.aggregate(F.sequence(F.lit(1), F.lit(45)), start, halve, lambda acc: (acc["lo"] + acc["hi"]) / 2)
+    return F.when(v > _SERIES_DF, far).when(v >= 1, near)
 
 
-def mean_ci95(df: DataFrame, group: str, levels: list[str], value: str = "avg_salary_annual_usd",
+def mean_ci95(df: DataFrame, group: str, levels: list[str] | None = None, value: str = "avg_salary_annual_usd",
               min_n: int = 10) -> DataFrame:
-    """Mean, n, sample std and 95 % t half-width per level (listed levels, n ≥ min_n)."""
-    stats = (df.where(F.col(group).isin(levels) & F.col(value).isNotNull())
-             .groupBy(group).agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"),
+    """Mean, n, sample std and 95 % t half-width per level (listed levels or all, n ≥ min_n ≥ 2)."""
+    listed = df.where(F.col(group).isin(levels)) if levels is not None else df.where(F.col(group).isNotNull())
+    stats = (listed.where(F.col(value).isNotNull())
+             .groupBy(group).agg(cents_avg(value).alias("mean"), F.count(F.lit(1)).alias("n"),
                                  F.stddev_samp(value).alias("std")))
     t = t_quantile_975(F.col("n") - 1)
-    return (stats.where(F.col("n") >= min_n)
+    return (stats.where(F.col("n") >= max(2, min_n))
             .withColumn("t", t)
             .withColumn("half_width", F.col("t") * F.col("std") / F.sqrt(F.col("n").cast("double"))))
 
@@ -213,23 +242,17 @@ def crosstab_top(df: DataFrame, row: str, col: str, k: int) -> DataFrame:
 def skill_cooccurrence(silver: DataFrame, k: int = 20) -> DataFrame:
     """Co-occurrence counts among the top-k skills; the diagonal is own support.
 
-    No per-job pair explosion: each job becomes the sorted array of its top-k
-    skills, equal arrays are counted (pre-aggregated), and only distinct ones
+    One silver row is one job, so a job's top skills are an array of its own row:
+    no shuffle by job.  Equal arrays are counted first, and only distinct ones
     are expanded to their pairs.  Any ``k`` will do.
     """
-    js = job_skills(silver).select("job_id", "skill").distinct()
-    top = (js.groupBy("skill").agg(F.count(F.lit(1)).alias("_n"))
-           .withColumn("_r", F.row_number().over(Window.orderBy(F.col("_n").desc(), F.col("skill"))) - 1)
-           .where(F.col("_r") < k).select("skill", "_r"))  # ≤ k rows (window over one row per skill)
-    masks = (js.join(F.broadcast(top), "skill")
-             .groupBy("job_id").agg(F.array_sort(F.collect_set("_r")).alias("_m"))
-             .groupBy("_m").agg(F.count(F.lit(1)).alias("_c")))
-    pairs = (masks.select("_c", "_m", F.explode("_m").alias("_a"))
-             .select("_c", "_a", F.explode("_m").alias("_b"))
-             .groupBy("_a", "_b").agg(F.sum("_c").alias("n")))
-    ta, tb = top.select(F.col("skill").alias("skill_a"), F.col("_r").alias("_a")), \
-        top.select(F.col("skill").alias("skill_b"), F.col("_r").alias("_b"))
-    return pairs.join(F.broadcast(ta), "_a").join(F.broadcast(tb), "_b").select("skill_a", "skill_b", "n")
+    own = silver.select(F.array_distinct(all_skills()).alias("_s"))
+    top = (own.select(F.explode("_s").alias("skill")).where(F.col("skill") != "").groupBy("skill").agg(F.count(F.lit(1)).alias("_n"))
+           .orderBy(F.col("_n").desc(), F.col("skill")).limit(k).agg(F.collect_list("skill").alias("_top")))  # one row of k names
+    sets = (own.crossJoin(F.broadcast(top)).select(F.array_sort(F.array_intersect("_s", "_top")).alias("_m"))
+            .where(F.size("_m") > 0).groupBy("_m").agg(F.count(F.lit(1)).alias("_c")))
+    pairs = sets.select("_c", "_m", F.explode("_m").alias("skill_a")).select("_c", "skill_a", F.explode("_m").alias("skill_b"))
+    return pairs.groupBy("skill_a", "skill_b").agg(F.sum("_c").alias("n"))
 
 
 def country_skill_top(counts: DataFrame, n_countries: int = 10, n_skills: int = 15) -> tuple[list, list]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from hirelens.functions.skills import all_skills
 from hirelens.operators import gold
 from hirelens.operators import reports as Q
 from hirelens.plans.common import m2, money, silver
@@ -12,6 +13,7 @@ from hirelens.plans.registry import register
 
 E = cte()
 LEVELS = ["Entry-Level", "Mid-Level", "Senior"]
+LEVELS_AND_NONE = [*LEVELS, "Executive"]  # no posting has the last one
 FOCUS_SKILLS = ["python", "sql", "aws", "excel", "power"]
 US = "United States"
 
@@ -165,22 +167,39 @@ def experience_proportions(spark, d):
     return p.select("experience_level", "n", money(F.col("share") * 100.0, "share_pct"))
 
 
-def _t_sql(v: str) -> str:
-    c = Q.T_COEFFS
-    return (f"({c['z']!r} + {c['g1']!r} / {v} + {c['g2']!r} / ({v} * {v}) + {c['g3']!r} / ({v} * {v} * {v})"
-            f" + {c['g4']!r} / ({v} * {v} * {v} * {v}))")
+def _with_t(rows: str, steps: int = 12) -> str:
+    """CTE ``t``: ``rows`` (with a count n) plus the t quantile, by integrating the density (Simpson) and Newton steps."""
+    density = "exp(lc - n / 2.0 * ln(1 + pow({x}, 2) / (n - 1)))"
+    inner = density.format(x="(i * t / 1000.0)")
+    share = f"2 * t / 3000.0 * list_sum(list_transform(range(0, 1001), lambda i: (CASE WHEN i IN (0, 1000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * {inner}))"
+    out = f", t0 AS (SELECT *, 1.959963984540054::DOUBLE AS t, lgamma(n / 2.0) - lgamma((n - 1) / 2.0) - 0.5 * ln((n - 1) * pi()) AS lc FROM {rows})"
+    for i in range(steps):
+        out += f", t{i + 1} AS MATERIALIZED (SELECT * REPLACE (t - ({share} - 0.95) / (2 * {density.format(x='t')}) AS t) FROM t{i})"
+    return out + f", t AS (SELECT * FROM t{steps})"
 
 
-@register("experience_ci95", E + f"""
-, st AS (SELECT experience_level, avg(avg_salary_annual_usd) AS mean, count(*) AS n,
-                stddev_samp(avg_salary_annual_usd) AS std
-         FROM exp_postings WHERE experience_level IN ('Entry-Level', 'Mid-Level', 'Senior')
-           AND avg_salary_annual_usd IS NOT NULL GROUP BY experience_level HAVING count(*) >= 10)
-SELECT experience_level, {m2('mean')} AS mean, n, {m2('std')} AS std,
-       {m2(_t_sql('CAST(n - 1 AS DOUBLE)') + ' * std / sqrt(CAST(n AS DOUBLE))')} AS half_width FROM st""")
+_CI = f"""
+, st AS (SELECT {{g}}, sum(CAST(floor(avg_salary_annual_usd * 100 + 0.5) AS BIGINT)) / count(*) / 100 AS mean, count(*) AS n, stddev_samp(avg_salary_annual_usd) AS std
+         FROM exp_postings WHERE {{where}} AND avg_salary_annual_usd IS NOT NULL GROUP BY {{g}} HAVING count(*) >= {{least}})
+{_with_t('st').replace('{', '{{').replace('}', '}}')}
+SELECT {{g}}, {m2('mean')} AS mean, n, {m2('std')} AS std, {m2('t * 1000000')} AS t_millionths,
+       {m2('t * std / sqrt(CAST(n AS DOUBLE))')} AS half_width FROM t"""
+
+
+def _ci(r, group: str):
+    return r.select(group, money("mean"), "n", money("std"), money(F.col("t") * 1000000, "t_millionths"), money("half_width"))
+
+
+@register("experience_ci95", E + _CI.format(g="experience_level", where="experience_level IN ('Entry-Level', 'Mid-Level', 'Senior')", least=10))
 def experience_ci95(spark, d):
-    r = Q.mean_ci95(silver(spark, d), "experience_level", LEVELS)
-    return r.select("experience_level", money("mean"), "n", money("std"), money("half_width"))
+    """A15 over large groups."""
+    return _ci(Q.mean_ci95(silver(spark, d), "experience_level", LEVELS), "experience_level")
+
+
+@register("company_ci95", E + _CI.format(g="company", where="company IS NOT NULL", least=2))
+def company_ci95(spark, d):
+    """A15 over small groups: t for a handful of degrees of freedom."""
+    return _ci(Q.mean_ci95(silver(spark, d), "company", min_n=2), "company")
 
 
 @register("salary_outliers", E + f"""
@@ -260,18 +279,20 @@ SELECT tc.country, ts.skill, coalesce(n.count, 0) AS count FROM tc CROSS JOIN ts
 LEFT JOIN n ON n.country = tc.country AND n.skill = ts.skill""")
 def country_skill_matrix(spark, d):
     s = silver(spark, d)
-    counts = (gold.job_skills(s).select("job_id", "skill").distinct()
-              .join(s.select(F.col("id").alias("job_id"), "country"), "job_id")
-              .groupBy("country", "skill").agg(F.count(F.lit(1)).alias("count")))
+    jobs = s.select("country", F.explode(F.array_distinct(all_skills())).alias("skill"))  # a row is a job
+    counts = jobs.groupBy("country", "skill").agg(F.count(F.lit(1)).alias("count"))
     rows = Q.top_keys(counts, "country", 10, weight="count")
     cols = Q.top_keys(counts, "skill", 10, weight="count")
     return Q.dense_matrix(counts, "country", "skill", "count", rows, cols)
 
 
 @register("country_skill_pivot", E + _CSC + """
-PIVOT dense ON skill USING first(count) GROUP BY country""")
+SELECT country, string_agg(skill || '=' || count, ', ' ORDER BY skill) AS cells FROM dense GROUP BY country""")
 def country_skill_pivot(spark, d):
-    return Q.country_skill_pivot(gold.country_skill_counts(silver(spark, d)), 10, 15)
+    """The wide matrix, each row written out with its column names (they depend on the data)."""
+    wide = Q.country_skill_pivot(gold.country_skill_counts(silver(spark, d)), 10, 15)
+    cells = [F.concat(F.lit(f"{c}="), F.col(f"`{c}`").cast("string")) for c in wide.columns if c != "country"]
+    return wide.select("country", F.concat_ws(", ", *cells).alias("cells"))
 
 
 def _topk_sql(group: list[str], k: int) -> str:
@@ -316,12 +337,12 @@ def distinct_levels_max_salary(spark, d):
 
 
 @register("suppressed_levels", E + """
-, l(experience_level) AS (VALUES ('Entry-Level'), ('Mid-Level'), ('Senior')),
+, l(experience_level) AS (VALUES ('Entry-Level'), ('Mid-Level'), ('Senior'), ('Executive')),
 n AS (SELECT experience_level, count(*) AS n FROM exp_postings WHERE avg_salary_annual_usd IS NOT NULL GROUP BY 1)
 SELECT l.experience_level, n.n FROM l LEFT JOIN n USING (experience_level) WHERE coalesce(n.n, 0) < 10""")
 def suppressed_levels(spark, d):
     """A15 (second output): listed levels with fewer than 10 salaries."""
-    return Q.suppressed_levels(silver(spark, d), "experience_level", LEVELS)
+    return Q.suppressed_levels(silver(spark, d), "experience_level", LEVELS_AND_NONE)
 
 
 @register("salary_box_by_country", E + f"""

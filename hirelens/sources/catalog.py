@@ -80,10 +80,21 @@ def load_table(df: DataFrame, table: str, keys: list[str], part: Column, locatio
     finally:
         spark.conf.set(OVERWRITE_MODE, before)
     for gone in sorted(set(touched) - set(written.get["parts"])):  # all its rows moved elsewhere
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({PART} = '{gone}')")
+        _drop_partition(spark, table, gone)
     return touched
 
 
+def _drop_partition(spark: SparkSession, table: str, part: str) -> None:
+    """Drop a partition with its files (Spark keeps the files of external tables)."""
+    spec = f"PARTITION ({PART} = '{part}')"
+    about = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").where("col_name = 'Location'").collect()
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+    for place in about:
+        if f"{PART}={part}" in place["data_type"]:  # the partition's own folder, not the table's
+            path = spark._jvm.org.apache.hadoop.fs.Path(place["data_type"])
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def load_tables(spark: SparkSession, gold: dict[str, DataFrame], keys: dict[str, list[str]],
                 database: str = "default", parts: int = 16) -> dict[str, list[str]]:
     """S6 for the gold tables: each merged by key into ``database.<name>``; returns the partitions written of each.

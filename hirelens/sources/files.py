@@ -53,12 +53,25 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
-def replace_parquet(df: DataFrame, path: str, staging: str) -> DataFrame:
-    """S4 for read-merge-rewrite: write to ``staging``, read it back, then overwrite ``path``."""
-    df.write.mode("overwrite").parquet(staging)
-    staged = df.sparkSession.read.parquet(staging)
-    staged.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def replace_parquet(df: DataFrame, path: str) -> DataFrame:
+    """S4 for read-change-rewrite: ``df``, which may read ``path``, takes its place.
+
+    The new files are written beside the old ones; then the old folder is renamed
+    away, the new one takes its name, and only then the old one is deleted.  A
+    failure before the renames leaves the old table, one between them leaves both
+    tables whole under ``<path>.old`` and ``<path>.new``.
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(at(f"{path}.old"), True)
+    if fs.exists(at(path)) and not fs.rename(at(path), at(f"{path}.old")):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(at(f"{path}.new"), at(path)):
+        raise OSError(f"could not move {path}.new into place; the former table is at {path}.old")
+    fs.delete(at(f"{path}.old"), True)
+    return spark.read.parquet(path)
 
 
 def read_rates(spark: SparkSession, path: str | None = None) -> DataFrame:
