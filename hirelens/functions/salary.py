@@ -3,9 +3,10 @@
 Shape of the computation for one text:
 
   split into sentences (L5) -> keep salary sentences, drop funding ones (L6)
-  -> all matches of one master regex per sentence (L4/L7) -> struct per match
+  -> every place where the master regex matches, overlaps included (L4/L7)
   -> number / currency / period normalisation (L10, L11, L15, L16)
-  -> plausibility (L8) -> best candidate by score, first on ties (L13)
+  -> plausibility (L8) -> one fold over (sentence, offset) that settles overlaps (L9)
+  -> best candidate by score, first on ties (L13)
 
 Everything is ``split`` / ``filter`` / ``transform`` / ``regexp_extract_all``
 on literal patterns: it runs in the JVM, row-local, and never shuffles.
@@ -35,16 +36,18 @@ def _alt(tokens: list[str], upper: bool = True) -> str:
 
 
 _ALL_CURRENCY_TOKENS = R.CURRENCY_TOKENS + R.EXTRA_CURRENCY_TOKENS
-_MULTI_CHAR_CURRENCIES = [t for t in _ALL_CURRENCY_TOKENS if not (len(t) == 1 and t.isalpha())]
+_MULTI_CHAR_CURRENCIES = [t for t in _ALL_CURRENCY_TOKENS if not (len(t) == 1 and t.isalpha()) and t not in R.WORD_LIKE_CURRENCIES]
+# Tokens that are words of English prose ("10,000 ft", "top 5,000") only count in capitals.
+_CAPITALS_ONLY = "(?-i:" + _alt(R.WORD_LIKE_CURRENCIES) + ")"
 _SINGLE_LETTER_CURRENCIES = sorted({t for t in R.CURRENCY_TOKENS if len(t) == 1 and t.isalpha()})
 
 # One-letter currency tokens only count upper-case and touching the number (Q7).
-CUR_PREFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + "|(?-i:" + "|".join(_SINGLE_LETTER_CURRENCIES) + r")(?=\d))"
-CUR_SUFFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + ")"
+CUR_PREFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + "|" + _CAPITALS_ONLY + "|(?-i:" + "|".join(_SINGLE_LETTER_CURRENCIES) + r")(?=\d))"
+CUR_SUFFIX = "(?:" + _alt(_MULTI_CHAR_CURRENCIES) + "|" + _CAPITALS_ONLY + ")"
 # "a year" and the like, beside the fixed phrases.
 _A_PERIOD = {"a year": "year", "a month": "month", "an hour": "hour", "a week": "week", "a day": "day"}
 PERIOD = "(?:" + _alt([*R.PERIOD_PHRASES, *_A_PERIOD], upper=False) + ")"
-UNIT = r"/(?:yr|year|annum|mo|month|hr|hour)(?!\p{L})"
+UNIT = r"\s?/\s?(?:yr|year|annum|mo|month|hr|hour|wk|week|day)(?!\p{L})"
 # Indian grouping, thousands-grouped, or plain digits; optional 1-2 decimals; k/m (Q3).
 NUM = (r"(?<![\d.,])(?:\d{1,3}(?:,\d{2})+,\d{3}|\d{1,3}(?:[.,]\d{3})+|\d+)"
        r"(?:[.,]\d{1,2}(?![\d]))?(?:[kKmM](?!\p{L}))?")
@@ -52,12 +55,14 @@ LEAD = r"(?:(" + trie_regex(R.SALARY_LEAD_WORDS) + r")(?:\s+range)?\s*:\s*)?"
 DASH = r"(?:-|–|—|to(?!\p{L}))"  # alternatives, not a character class (Q10)
 
 # Groups: 1 lead, 2 cur1, 3 num1, 4 unit1, 5 cur1 suffix, 6 cur2, 7 num2, 8 unit2, 9 cur3, 10 period
-MASTER = (
-    rf"(?iu){LEAD}(?:({CUR_PREFIX})\s?)?({NUM})({UNIT})?"
+_BODY = (
+    rf"{LEAD}(?:({CUR_PREFIX})\s?)?({NUM})({UNIT})?"
     rf"(?:(?:\s?({CUR_SUFFIX}))?\s*{DASH}\s*(?:({CUR_PREFIX})\s?)?({NUM})({UNIT})?)?"
     rf"(?:\s?({CUR_SUFFIX}))?(?:\s*({PERIOD}|{UNIT}))?"
 )
-ANCHORED = "(?iu)^" + MASTER.replace("(?iu)", "", 1)  # the same pattern, matched from the start
+# All places where the pattern matches, as the text from there on; and the groups of one such place, 11 what follows the match.
+PLACES = rf"(?iu)(?=({_BODY}[\s\S]*))"
+ANCHORED = rf"(?iu)^{_BODY}([\s\S]*)$"
 
 SENTENCE_SPLIT = r"(?<=[.!?])\s+"
 _SALARY_SENT = trie_regex(R.SALARY_KEYWORDS)                       # substring semantics
@@ -77,8 +82,8 @@ for _p in R.PERIOD_PHRASES:
         _PERIOD_NAME[_pl] = "week"
     else:
         _PERIOD_NAME[_pl] = "day"
-for _u, _n in (("/yr", "year"), ("/year", "year"), ("/annum", "year"), ("/mo", "month"),
-               ("/month", "month"), ("/hr", "hour"), ("/hour", "hour")):
+for _u, _n in (("/yr", "year"), ("/year", "year"), ("/annum", "year"), ("/mo", "month"), ("/month", "month"), ("/hr", "hour"),
+               ("/hour", "hour"), ("/wk", "week"), ("/week", "week"), ("/day", "day")):
     _PERIOD_NAME[_u] = _n
 _PERIOD_NAME.update(_A_PERIOD)
 
@@ -87,7 +92,7 @@ _PERIOD_NAME.update(_A_PERIOD)
 
 def period_name(phrase: Column) -> Column:
     """Canonical period ('year', 'month', 'hour', 'week', 'day') of a phrase or unit."""
-    p = F.lower(F.regexp_replace(phrase, r"\s+", " "))
+    p = F.lower(F.regexp_replace(F.regexp_replace(phrase, r"\s*/\s*", "/"), r"\s+", " "))
     return F.when(p != "", F.element_at(lit_map(_PERIOD_NAME), p))
 
 
@@ -144,7 +149,7 @@ def standardize_currency(token: Column) -> Column:
     )
 
 
-GROUP_NAMES = ["lead", "cur1", "n1", "u1", "cur1s", "cur2", "n2", "u2", "cur3", "per"]
+GROUP_NAMES = ["lead", "cur1", "n1", "u1", "cur1s", "cur2", "n2", "u2", "cur3", "per", "rest"]
 
 
 def _keep_sentence_lower(low: Column) -> Column:
@@ -158,44 +163,62 @@ def _keep_sentence(s: Column) -> Column:
     return _keep_sentence_lower(F.lower(s))
 
 
-def match_strings(sentences: Column, kept: Column) -> Column:
-    """Salary sentences (all sentences when none qualifies) → every master-regex match."""
-    pool = F.when(F.size(kept) > 0, kept).otherwise(sentences)
-    return F.flatten(F.transform(pool, lambda s: F.regexp_extract_all(s, F.lit(MASTER), 0)))
-
-
 _SEP = "\u0001"
-# One regex execution per match: the anchored pattern re-matches the whole match
-# string and is replaced by its ten groups joined with a separator (a group that
+# One regex execution per place: the anchored pattern matches the text from the
+# place on and is replaced by its groups joined with a separator (a group that
 # did not take part contributes nothing), which is then split.
 _GROUPS_TEMPLATE = _SEP.join(f"${i + 1}" for i in range(len(GROUP_NAMES)))
 _GI = {n: i for i, n in enumerate(GROUP_NAMES)}
 
 
-def match_groups(matches: Column) -> Column:
-    """Each match string → array of its ten capture groups ('' when absent), in GROUP_NAMES order."""
-    return F.transform(matches, lambda m: F.split(F.regexp_replace(m, ANCHORED, _GROUPS_TEMPLATE), _SEP, -1))
+def match_places(sentences: Column, kept: Column) -> Column:
+    """Every place in the salary sentences (all sentences when none qualifies) where the pattern matches.
+
+    Elements are (sent, at, left, g): sentence number, offset, length of the text
+    from there on, and the groups.  A sentence without a digit has no match.
+    """
+    pool = F.when(F.size(kept) > 0, kept).otherwise(sentences)
+
+    def places(s: Column, i: Column) -> Column:
+        found = F.when(s.rlike("[0-9]"), F.regexp_extract_all(s, F.lit(PLACES), 1)).otherwise(F.array().cast("array<string>"))
+        return F.transform(found, lambda x: F.struct(
+            i.alias("sent"), (F.length(s) - F.length(x)).alias("at"), F.length(x).alias("left"),
+            F.split(F.regexp_replace(x, ANCHORED, _GROUPS_TEMPLATE), _SEP, -1).alias("g")))
+
+    return F.flatten(F.transform(pool, places))
 
 
-def _parse(a: Column) -> Column:
+def _multiplier_suffix(n: Column) -> Column:
+    last = F.lower(F.substring(n, -1, 1))
+    return F.when(last == "k", F.lit(1e3)).when(last == "m", F.lit(1e6)).otherwise(F.lit(1.0))
+
+
+def _parse(place: Column) -> Column:
+    a = place["g"]
+
     def g(name: str) -> Column:
         return a[_GI[name]]
 
     token = (F.when(g("cur1") != "", g("cur1")).when(g("cur1s") != "", g("cur1s"))
              .when(g("cur2") != "", g("cur2")).when(g("cur3") != "", g("cur3")))
+    v1, v2 = parse_amount(g("n1")), parse_amount(g("n2"))
+    m1, m2 = _multiplier_suffix(g("n1")), _multiplier_suffix(g("n2"))
+    # "50-80K": a suffix on the second number alone counts for both, if the first is the smaller number as written.
+    shared = (m1 == 1.0) & (m2 > 1.0) & (v1 <= v2 / m2)
     return F.struct(
+        place["sent"].alias("sent"), place["at"].alias("at"), (place["at"] + place["left"] - F.length(g("rest"))).alias("end"),
         token.alias("currency_token"),
-        parse_amount(g("n1")).alias("v1"),
-        parse_amount(g("n2")).alias("v2"),
+        F.when(shared, v1 * m2).otherwise(v1).alias("v1"),
+        v2.alias("v2"),
         (g("n2") != "").alias("is_range"),
         F.coalesce(period_name(g("per")), period_name(g("u2")), period_name(g("u1"))).alias("period"),
         (token.isNotNull() | (g("lead") != "")).alias("qualified"),
     )
 
 
-def parse_groups(groups: Column) -> Column:
-    """L10/L11/L16 inputs: currency token, amounts, period name per match."""
-    return F.transform(groups, _parse)
+def parse_places(places: Column) -> Column:
+    """L10/L11/L16 inputs: currency token, amounts, period name per place."""
+    return F.transform(places, _parse)
 
 
 def _candidate(p: Column) -> Column:
@@ -211,15 +234,32 @@ def _candidate(p: Column) -> Column:
         F.when(~p["is_range"], plausible(p["v1"])).alias("single_salary"),
         p["period"].alias("period"),
         p["qualified"].alias("qualified"),
+        p["sent"].alias("sent"), p["at"].alias("at"), p["end"].alias("end"),
     )
 
 
 def candidates(parsed: Column) -> Column:
-    """Plausible, qualified candidates in text order."""
+    """Plausible, qualified candidates in text order, overlaps included."""
     return F.filter(F.transform(parsed, _candidate), lambda c: c["qualified"] & (
         c["min_salary"].isNotNull() | c["max_salary"].isNotNull() | c["single_salary"].isNotNull()))
 
 
+def settle_overlaps(cands: Column) -> Column:
+    """A candidate stays if it starts no earlier than five characters before the end of the last one kept (or
+    in another sentence); else it takes that one's place if it is a full range and that one isn't; else it goes."""
+    def full(c: Column) -> Column:
+        return c["min_salary"].isNotNull() & c["max_salary"].isNotNull()
+
+    def step(kept: Column, c: Column) -> Column:
+        last = F.element_at(kept, -1)
+        apart = (c["sent"] != last["sent"]) | (c["at"] >= last["end"] - 5)
+        return (F.when((F.size(kept) == 0) | apart, F.concat(kept, F.array(c)))
+                .when(full(c) & ~full(last), F.concat(F.slice(kept, F.lit(1), F.size(kept) - 1), F.array(c)))
+                .otherwise(kept))
+
+    return F.when(F.size(cands) <= 1, cands).otherwise(F.aggregate(F.slice(cands, F.lit(2), F.size(cands)), F.slice(cands, 1, 1), step))
+
+
 def best_candidate(cands: Column) -> Column:
     """+3 full range else +2 single; +2 currency; +1 period; first on ties."""
     scored = F.transform(cands, lambda c, i: F.struct(
@@ -233,7 +273,7 @@ def best_candidate(cands: Column) -> Column:
     return F.when(F.size(cands) > 0, F.array_max(scored)["c"])
 
 
-_STEPS = ["sents", "mask", "kept", "matches", "groups", "parsed", "cands"]
+_STEPS = ["sents", "mask", "kept", "places", "parsed", "cands", "apart"]
 
 
 def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
@@ -241,7 +281,7 @@ def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
 
     Each step is its own projection.  Catalyst keeps a projection separate
     when its (expensive) output is referenced more than once, so every regex
-    runs once per sentence / match instead of once per reference.
+    runs once per sentence / place instead of once per reference.
     """
     p = f"_{out}_"
     df = df.withColumn(p + "sents", F.split(text, SENTENCE_SPLIT))
@@ -249,11 +289,11 @@ def with_best_salary(df: DataFrame, text: Column, out: str) -> DataFrame:
     # so the filter lambda reads it instead of recomputing it for every sentence
     df = df.withColumn(p + "mask", F.transform(F.split(F.lower(text), SENTENCE_SPLIT), _keep_sentence_lower))
     df = df.withColumn(p + "kept", F.filter(F.col(p + "sents"), lambda s, i: F.element_at(F.col(p + "mask"), i + 1)))
-    df = df.withColumn(p + "matches", match_strings(F.col(p + "sents"), F.col(p + "kept")))
-    df = df.withColumn(p + "groups", match_groups(F.col(p + "matches")))
-    df = df.withColumn(p + "parsed", parse_groups(F.col(p + "groups")))
+    df = df.withColumn(p + "places", match_places(F.col(p + "sents"), F.col(p + "kept")))
+    df = df.withColumn(p + "parsed", parse_places(F.col(p + "places")))
     df = df.withColumn(p + "cands", candidates(F.col(p + "parsed")))
-    df = df.withColumn(out, best_candidate(F.col(p + "cands")))
+    df = df.withColumn(p + "apart", settle_overlaps(F.col(p + "cands")))
+    df = df.withColumn(out, best_candidate(F.col(p + "apart")))
     return df.drop(*[p + s for s in _STEPS])
 
 
@@ -277,7 +317,7 @@ def extract_salary(text: ColumnOrName) -> Column:
     shared; use it for small inputs and tests, the DataFrame form for tables)."""
     sents = F.split(normalize_text(text), SENTENCE_SPLIT)
     kept = F.filter(sents, _keep_sentence)
-    return best_candidate(candidates(parse_groups(match_groups(match_strings(sents, kept)))))
+    return best_candidate(settle_overlaps(candidates(parse_places(match_places(sents, kept)))))
 
 
 def confidence(best: Column) -> Column:

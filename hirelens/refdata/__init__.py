@@ -153,6 +153,9 @@ CURRENCY_TOKENS = [
 # is read as "$90,000" with a stray "US", which breaks "US$1 - US$2" ranges.
 EXTRA_CURRENCY_TOKENS = ["US$", "C$", "A$"]
 
+# Our choice: tokens of the list above that are words of English prose; they only count in capitals.
+WORD_LIKE_CURRENCIES = ["TOP", "TRY", "WON", "REAL", "FT", "SR", "RAND"]
+
 # Salary period phrases.
 PERIOD_PHRASES = [
     "per year", "annually", "yearly", "per annum", "p.a.", "pa",
