@@ -61,7 +61,8 @@ _BODY = (
     rf"(?:\s?({CUR_SUFFIX}))?(?:\s*({PERIOD}|{UNIT}))?"
 )
 # All places where the pattern matches, as the text from there on; and the groups of one such place, 11 what follows the match.
-PLACES = rf"(?iu)(?=({_BODY}[\s\S]*))"
+# Right after a currency symbol no place is looked for: the one at the symbol has the same numbers, and a currency.
+PLACES = rf"(?iu)(?<!\p{{Sc}}\s?)(?=({_BODY}[\s\S]*))"
 ANCHORED = rf"(?iu)^{_BODY}([\s\S]*)$"
 
 SENTENCE_SPLIT = r"(?<=[.!?])\s+"

@@ -8,7 +8,7 @@ bounded dict) or an equi-join, broadcast or not as Spark's statistics say.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import refdata as R
@@ -142,35 +142,52 @@ def reextract_skills(silver: DataFrame) -> DataFrame:
     return df.withColumns(extract_skills_from_found(F.col("_kw"))).drop("_kw")
 
 
-def _runs(words: str, n: int) -> Column:
-    """All runs of ``n`` words of an array column, joined by spaces."""
+def default_gazetteer(spark: SparkSession) -> DataFrame:
+    """The built-in places as a gazetteer table (key, country, priority, whole_part)."""
+    rows = [(k, c, i, k in G.WHOLE_PART) for k, cs in G.place_table().items() for i, c in enumerate(cs)]
+    return spark.createDataFrame(rows, "key string, country string, priority int, whole_part boolean")
+
+
+def _runs(words: Column, n: int) -> Column:
+    """All runs of ``n`` words of an array, as (from, n, key)."""
     starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    return F.transform(starts, lambda i: F.struct(i.alias("from"), F.lit(n).alias("n"), F.array_join(F.slice(words, i, n), " ").alias("key")))
 
 
-def resolve_countries(df: DataFrame, location_col: str, gazetteer: DataFrame,
-                      out_col: str = "country") -> DataFrame:
-    """G1/G2/J8 join form for a caller-supplied gazetteer ``(key, country, priority)``.
+def resolve_countries(df: DataFrame, location_col: str, gazetteer: DataFrame, out_col: str = "country", max_words: int = 6) -> DataFrame:
+    """G1/G2/J8 join form for a gazetteer of any size: (key, country, priority) and optionally whole_part.
 
-    Every run of words of a distinct cleaned location, up to the longest key's
-    length, is hash-joined with the keys (a key is found where its words are);
-    best key per location by priority then length, joined back on the cleaned
-    location.  Unmatched locations fall back to the expression rules.
+    A key may name places in several countries; the lowest priority is the
+    likeliest.  Runs of words of each distinct cleaned location (up to
+    ``max_words``, commas or not) are joined with the keys by equality.  Of names
+    that overlap the leftmost, longest one counts; a ``whole_part`` key only
+    where it is a whole part.  The countries are folded from the right as in
+    the expression form, and joined back on the cleaned location.  A key of more
+    words than ``max_words`` fails the query instead of never being found.
     """
-    def tokens(c: Column) -> Column:
-        return F.filter(F.split(c, r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    key = F.regexp_replace(G.clean_location(F.col("key")), ",", " ")
+    whole = F.col("whole_part") if "whole_part" in gazetteer.columns else F.lit(False)
+    gaz = gazetteer.select(key.alias("key"), "country", "priority", whole.alias("whole_part")).where(F.col("key") != "")
+    words = F.size(F.split("key", " "))
+    gaz = gaz.withColumn("key", F.when(words > max_words, F.raise_error(F.concat(
+        F.lit(f"gazetteer key of more than {max_words} words: "), F.col("key"))).cast("string")).otherwise(F.col("key")))
+    named = gaz.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("priority", "country"))).alias("_c"), F.min("whole_part").alias("_whole"))
+    named = named.select(F.col("key").alias("_key"), F.array_distinct(F.col("_c.country")).alias("_countries"), "_whole")
 
     cleaned = G.clean_location(F.col(location_col))
     locs = df.select(cleaned.alias("_loc")).where(F.col("_loc") != "").distinct()
-    gaz = gazetteer.select(tokens(G.clean_location(F.col("key"))).alias("_t"), F.col("country").alias("_gc"), F.col("priority"))
-    gaz = gaz.where(F.size("_t") > 0)
-    longest = gaz.agg(F.max(F.size("_t"))).first()[0] or 1
-    gaz = gaz.withColumn("_key", F.array_join("_t", " "))
-    t = locs.select("_loc", tokens(G.state_named(F.col("_loc"))).alias("_t")).where(F.size("_t") > 0)
-    runs = [_runs("_t", k + 1) for k in range(longest)]
-    hit = t.select("_loc", F.explode(F.array_distinct(F.concat(*runs))).alias("_key")).join(gaz.drop("_t"), "_key")
-    best = hit.groupBy("_loc").agg(
-        F.min_by("_gc", F.struct(F.col("priority"), -F.length("_key"))).alias("_resolved"))
+    worded = locs.select("_loc", F.filter(F.split(F.translate("_loc", ",", " "), " "), lambda w: w != "").alias("_w"))
+    runs = worded.select("_loc", F.explode(F.concat(*[_runs(F.col("_w"), k + 1) for k in range(max_words)])).alias("_r"))
+    edged = lambda c: F.concat(F.lit(","), c, F.lit(","))
+    hits = runs.join(named, F.col("_r.key") == F.col("_key")).where(~F.col("_whole") | edged(F.col("_loc")).contains(edged(F.col("_key"))))
+    hit = F.struct(F.col("_r.from").alias("from"), (-F.col("_r.n")).alias("minus_n"), F.col("_countries").alias("countries"))
+    found = hits.groupBy("_loc").agg(F.array_sort(F.collect_list(hit)).alias("_h"))
+
+    def apart(kept: Column, h: Column) -> Column:  # leftmost first, longest first at one place
+        last = F.element_at(kept, -1)
+        return F.when(h["from"] >= last["from"] - last["minus_n"], F.concat(kept, F.array(h))).otherwise(kept)
+
+    kept = F.aggregate(F.slice("_h", F.lit(2), F.size("_h")), F.slice("_h", 1, 1), apart)
+    best = found.select("_loc", G.fold_countries(F.transform(kept, lambda h: h["countries"])).alias("_resolved"))
     out = df.withColumn("_loc", cleaned).join(best, "_loc", "left")
-    return out.withColumn(out_col, F.coalesce(F.col("_resolved"), G.extract_country(F.col(location_col)))) \
-        .drop("_loc", "_resolved")
+    return out.withColumn(out_col, F.coalesce("_resolved", F.lit(R.UNKNOWN_COUNTRY))).drop("_loc", "_resolved")

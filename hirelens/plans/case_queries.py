@@ -14,7 +14,7 @@ from hirelens.functions import location as G
 from hirelens.functions import salary as L
 from hirelens.functions.literals import lit_array
 from hirelens.functions.text import join_list, parse_list_literal
-from hirelens.operators.enrich import annualize, reextract_salary, resolve_countries
+from hirelens.operators.enrich import annualize, default_gazetteer, reextract_salary, resolve_countries
 from hirelens.plans.common import m2, money, read
 from hirelens.plans.expected_sql import _values
 from hirelens.plans.registry import register
@@ -167,3 +167,47 @@ def salary_reextract_cases(spark, d):
     names = ["header_text", "title", "description", "country"]
     rows = _cases(spark, d, {c: [x[i] for x in REEXTRACT_CASES] for i, c in enumerate(names)})
     return _salary_out(reextract_salary(rows))
+
+
+# ------------------------------------------------------------------ places
+COUNTRY_CASES = [
+    ("Greater Bengaluru Area", "India"), ("San Jose, CA", "United States"), ("", "Unknown"), (N, "Unknown"), ("Paris", "France"),
+    ("Toronto, ON", "Canada"), ("Dubai, United Arab Emirates", "United Arab Emirates"),
+    ("Vancouver, Washington", "United States"), ("Vancouver, British Columbia", "Canada"), ("Vancouver, BC, Canada", "Canada"),
+    ("Bucharest, Romania", "Romania"), ("Kyiv, Ukraine", "Ukraine"), ("Taipei, Taiwan", "Taiwan"), ("Hong Kong", "Hong Kong"),
+    ("Atlanta, Georgia", "United States"), ("Tbilisi, Georgia", "Georgia"), ("Savannah, Georgia", "United States"), ("Georgia", "United States"),
+    ("Birmingham, Alabama", "United States"), ("Birmingham, England, United Kingdom", "United Kingdom"), ("Birmingham", "United Kingdom"),
+    ("Cambridge, Massachusetts", "United States"), ("Cambridge, UK", "United Kingdom"), ("Hamburg", "Germany"),
+    ("Paris, Texas", "United States"), ("Paris, TX", "United States"), ("Paris, Île-de-France, France", "France"), ("London, Ontario", "Canada"),
+    ("London, ON", "Canada"), ("City of London", "United Kingdom"), ("London", "United Kingdom"),
+    ("Perth, WA", "Australia"), ("Seattle, WA", "United States"), ("Spokane, WA", "United States"), ("Perth, Western Australia", "Australia"),
+    ("Sydney, NSW", "Australia"), ("Darwin, NT", "Australia"), ("Melbourne, Victoria, Australia", "Australia"), ("Melbourne, Florida", "United States"),
+    ("Albuquerque, New Mexico", "United States"), ("New Mexico", "United States"), ("Mexico City, Mexico", "Mexico"), ("Guadalajara", "Mexico"),
+    ("Austin, Texas Metropolitan Area", "United States"), ("Austin Texas", "United States"), ("Dallas-Fort Worth Metroplex", "United States"),
+    ("Washington DC-Baltimore Area", "United States"), ("Greater St. Louis", "United States"), ("Columbus, Ohio Metropolitan Area", "United States"),
+    ("Indianapolis, IN", "United States"), ("Wilmington, DE", "United States"), ("Delhi, India", "India"), ("Punjab, Pakistan", "Pakistan"),
+    ("Lahore, Punjab", "Pakistan"), ("Hyderabad, Telangana", "India"), ("Hyderabad, Sindh", "Pakistan"),
+    ("Remote", "Unknown"), ("Remote, US", "United States"), ("Anywhere in the USA", "United States"), ("Remote US", "United States"), ("USA", "United States"), ("EMEA", "Unknown"),
+    ("United States", "United States"), ("Deutschland / Berlin", "Germany"), ("  BERLIN ,  GERMANY  ", "Germany"), ("Zürich, Switzerland", "Switzerland"),
+    ("Seoul, Korea", "South Korea"), ("Istanbul, Türkiye", "Turkey"), ("Praha, Czech Republic", "Czechia"), ("Ho Chi Minh City, Viet Nam", "Vietnam"),
+    ("Abidjan, Côte d'Ivoire", "Côte d'Ivoire"), ("Nairobi", "Kenya"), ("Colombo, Sri Lanka", "Sri Lanka"), ("San José, Costa Rica", "Costa Rica"),
+    ("Latin America", "Unknown"), ("South Africa", "South Africa"), ("Dublin, Ohio", "United States"), ("Dublin, County Dublin, Ireland", "Ireland"),
+    ("Rome, Georgia", "United States"), ("Moscow, Idaho", "United States"), ("Valencia, Spain", "Spain"), ("Santiago, Chile", "Chile"),
+    ("Belfast, Northern Ireland", "United Kingdom"), ("12345", "Unknown"), ("Nowhere, Atlantis", "Unknown"),
+]
+_COUNTRY_SQL = f"""
+WITH c(k, country) AS (VALUES {_values([(i, c[1]) for i, c in enumerate(COUNTRY_CASES)])})
+SELECT o_orderkey AS id, c.country FROM orders JOIN c ON c.k = o_orderkey % {len(COUNTRY_CASES)}"""
+
+
+@register("country_cases", _COUNTRY_SQL)
+def country_cases(spark, d):
+    """G1 + G3, expression form."""
+    return _cases(spark, d, {"location": [c[0] for c in COUNTRY_CASES]}).select("id", G.extract_country("location").alias("country"))
+
+
+@register("country_cases_join", _COUNTRY_SQL)
+def country_cases_join(spark, d):
+    """G1 + G2 + J8, join form over a gazetteer table: the same answers."""
+    rows = _cases(spark, d, {"location": [c[0] for c in COUNTRY_CASES]})
+    return resolve_countries(rows, "location", default_gazetteer(spark)).select("id", "country")

@@ -349,11 +349,9 @@ def skills_reextract(spark, d):
 
 @register("extract_country_gazetteer_join", E + "SELECT id, country FROM exp_postings")
 def extract_country_gazetteer_join(spark, d):
-    """G1/G2/J8 join form: distinct cleaned locations × broadcast gazetteer table, joined back."""
-    from hirelens.operators.enrich import resolve_countries
-    gaz = spark.createDataFrame([(k, c, i) for i, (k, c) in enumerate(R.CITY_TO_COUNTRY)],
-                                "key string, country string, priority int")
-    return resolve_countries(_bronze(spark, d), "location", gaz).select("id", "country")
+    """G1/G2/J8 join form: distinct cleaned locations, their word runs joined with a gazetteer table, joined back."""
+    from hirelens.operators.enrich import default_gazetteer, resolve_countries
+    return resolve_countries(_bronze(spark, d), "location", default_gazetteer(spark)).select("id", "country")
 
 
 @register("skill_list_literal", E + """

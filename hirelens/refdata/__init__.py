@@ -253,8 +253,9 @@ CITY_TO_COUNTRY = [
 ]
 
 # Our own table: country → (ISO currency, alternative names).  It stands in for
-# the country-name libraries and online lookups (not built).  Users can pass a
-# larger table to the operators that accept one.
+# the country-name libraries and online lookups (not built).  All other
+# countries and their currencies come from the JVM's locale data
+# (``functions.places``); this table has the names and spellings we want kept.
 COUNTRY_INFO = [
     ("United States", "USD", ["usa", "us", "united states of america", "america"]),
     ("United Kingdom", "GBP", ["uk", "great britain", "england", "scotland", "wales"]),
@@ -275,6 +276,82 @@ COUNTRY_INFO = [
     ("Colombia", "COP", []), ("Peru", "PEN", []),
 ]
 
+# Our own tables: states and provinces (name, code or None) by country.
+STATES = {
+    "United States": [
+        ("alabama", "al"), ("alaska", "ak"), ("arizona", "az"), ("arkansas", "ar"), ("california", "ca"), ("colorado", "co"),
+        ("connecticut", "ct"), ("delaware", "de"), ("florida", "fl"), ("georgia", "ga"), ("hawaii", "hi"), ("idaho", "id"),
+        ("illinois", "il"), ("indiana", "in"), ("iowa", "ia"), ("kansas", "ks"), ("kentucky", "ky"), ("louisiana", "la"), ("maine", "me"),
+        ("maryland", "md"), ("massachusetts", "ma"), ("michigan", "mi"), ("minnesota", "mn"), ("mississippi", "ms"), ("missouri", "mo"),
+        ("montana", "mt"), ("nebraska", "ne"), ("nevada", "nv"), ("new hampshire", "nh"), ("new jersey", "nj"), ("new mexico", "nm"),
+        ("new york", "ny"), ("north carolina", "nc"), ("north dakota", "nd"), ("ohio", "oh"), ("oklahoma", "ok"), ("oregon", "or"),
+        ("pennsylvania", "pa"), ("rhode island", "ri"), ("south carolina", "sc"), ("south dakota", "sd"), ("tennessee", "tn"),
+        ("texas", "tx"), ("utah", "ut"), ("vermont", "vt"), ("virginia", "va"), ("washington", "wa"), ("west virginia", "wv"),
+        ("wisconsin", "wi"), ("wyoming", "wy"), ("district of columbia", "dc"), ("puerto rico", "pr"),
+    ],
+    "Canada": [
+        ("ontario", "on"), ("quebec", "qc"), ("québec", None), ("british columbia", "bc"), ("alberta", "ab"), ("manitoba", "mb"),
+        ("saskatchewan", "sk"), ("nova scotia", "ns"), ("new brunswick", "nb"), ("newfoundland and labrador", "nl"),
+        ("prince edward island", "pe"), ("yukon", "yt"), ("nunavut", "nu"),
+    ],
+    "Australia": [
+        ("new south wales", "nsw"), ("victoria", "vic"), ("queensland", "qld"), ("western australia", "wa"), ("south australia", "sa"),
+        ("tasmania", "tas"), ("australian capital territory", "act"), ("northern territory", "nt"),
+    ],
+    "United Kingdom": [("england", None), ("scotland", None), ("wales", None), ("northern ireland", None)],
+    "India": [(x, None) for x in (
+        "andhra pradesh", "assam", "bihar", "goa", "gujarat", "haryana", "jharkhand", "karnataka", "kerala", "madhya pradesh",
+        "maharashtra", "odisha", "punjab", "rajasthan", "tamil nadu", "telangana", "uttar pradesh", "uttarakhand", "west bengal")],
+    "Germany": [(x, None) for x in (
+        "bavaria", "bayern", "baden württemberg", "brandenburg", "hesse", "hessen", "lower saxony", "niedersachsen",
+        "north rhine westphalia", "nordrhein westfalen", "rhineland palatinate", "saarland", "saxony", "sachsen", "thuringia")],
+    "Pakistan": [("sindh", None), ("punjab", None)],
+    "Brazil": [("minas gerais", None), ("paraná", None), ("rio grande do sul", None)],
+    "Spain": [("catalonia", None), ("andalusia", None), ("community of madrid", None)],
+    "France": [("île de france", None), ("provence alpes côte d azur", None)],
+    "Italy": [("lombardy", None), ("lazio", None), ("tuscany", None)],
+}
+# Our own table: cities beyond the fixed keys, the likeliest country first where several have one of the name.
+MORE_CITIES = {
+    "United States": [
+        "houston", "phoenix", "philadelphia", "san antonio", "san diego", "san jose", "austin", "jacksonville", "columbus", "indianapolis",
+        "denver", "washington dc", "nashville", "oklahoma city", "el paso", "portland", "las vegas", "detroit", "memphis", "louisville",
+        "milwaukee", "albuquerque", "tucson", "fresno", "sacramento", "kansas city", "atlanta", "miami", "raleigh", "omaha", "oakland",
+        "cleveland", "pittsburgh", "cincinnati", "orlando", "silicon valley", "palo alto", "boulder", "brooklyn"],
+    "United Kingdom": ["birmingham", "leeds", "glasgow", "edinburgh", "liverpool", "bristol", "cardiff", "belfast", "cambridge", "oxford", "london", "manchester"],
+    "Canada": ["montreal", "montréal", "ottawa", "edmonton", "winnipeg", "vancouver", "toronto", "waterloo"],
+    "Germany": ["hamburg", "frankfurt", "cologne", "köln", "stuttgart", "düsseldorf", "leipzig", "münchen", "nuremberg"],
+    "France": ["lyon", "marseille", "toulouse", "nantes", "bordeaux", "lille", "grenoble"],
+    "Spain": ["valencia", "seville", "málaga", "bilbao"],
+    "Italy": ["milan", "milano", "turin", "naples", "bologna", "florence"],
+    "Netherlands": ["amsterdam", "rotterdam", "the hague", "utrecht", "eindhoven"],
+    "Belgium": ["brussels", "antwerp", "ghent"], "Switzerland": ["zurich", "zürich", "geneva", "basel", "bern", "lausanne"],
+    "Austria": ["vienna", "graz"], "Ireland": ["dublin", "cork", "galway"], "Portugal": ["braga"], "Greece": ["athens", "thessaloniki"],
+    "Poland": ["warsaw", "krakow", "kraków", "wrocław", "gdańsk"], "Czechia": ["prague", "brno"], "Hungary": ["budapest"],
+    "Romania": ["bucharest", "cluj napoca", "iași"], "Bulgaria": ["sofia"], "Serbia": ["belgrade"], "Croatia": ["zagreb"],
+    "Ukraine": ["kyiv", "kiev", "lviv"], "Russia": ["moscow", "saint petersburg"], "Turkey": ["ankara", "izmir"],
+    "Sweden": ["stockholm", "gothenburg", "malmö"], "Norway": ["oslo", "bergen"], "Denmark": ["copenhagen", "aarhus"], "Finland": ["helsinki", "espoo"],
+    "Estonia": ["tallinn"], "Latvia": ["riga"], "Lithuania": ["vilnius"], "Georgia": ["tbilisi"], "Armenia": ["yerevan"],
+    "India": ["bangalore", "hyderabad", "chennai", "pune", "ahmedabad", "noida", "gurgaon", "gurugram", "jaipur", "kochi"],
+    "Pakistan": ["karachi", "lahore", "islamabad"], "Bangladesh": ["dhaka"], "Sri Lanka": ["colombo"], "Nepal": ["kathmandu"],
+    "China": ["shenzhen", "guangzhou", "hangzhou", "chengdu", "nanjing"], "Hong Kong": ["kowloon"], "Taiwan": ["taipei", "hsinchu"],
+    "Japan": ["tokyo", "osaka", "kyoto", "yokohama"], "South Korea": ["seoul", "busan"], "Vietnam": ["hanoi", "ho chi minh city"],
+    "Philippines": ["manila", "makati", "cebu", "quezon city"], "Indonesia": ["bandung", "surabaya"], "Malaysia": ["penang", "selangor"],
+    "Australia": ["brisbane", "perth", "adelaide", "canberra"], "New Zealand": ["auckland", "wellington", "christchurch"],
+    "Brazil": ["brasília", "belo horizonte", "curitiba", "porto alegre"], "Mexico": ["guadalajara", "monterrey"], "Argentina": ["buenos aires"],
+    "Chile": ["santiago"], "Colombia": ["bogotá", "bogota", "medellín"], "Peru": ["lima"], "Costa Rica": ["san josé"],
+    "Egypt": ["cairo", "alexandria"], "Nigeria": ["lagos", "abuja"], "Kenya": ["nairobi"], "South Africa": ["johannesburg", "cape town", "durban"],
+    "Morocco": ["casablanca"], "Ghana": ["accra"], "Israel": ["tel aviv", "jerusalem", "haifa"], "Saudi Arabia": ["riyadh", "jeddah"],
+    "United Arab Emirates": ["dubai", "abu dhabi"], "Qatar": ["doha"], "Kuwait": ["kuwait city"],
+}
+# Cities that a second country has as well; the neighbouring parts decide.
+ALSO_IN = {
+    "london": "Canada", "vancouver": "United States", "manchester": "United States", "birmingham": "United States", "cambridge": "United States",
+    "paris": "United States", "dublin": "United States", "athens": "United States", "rome": "United States", "naples": "United States",
+    "melbourne": "United States", "moscow": "United States", "san jose": "Costa Rica", "valencia": "Venezuela", "portland": "Australia",
+    "perth": "United Kingdom", "lima": "United States", "santiago": "Spain", "waterloo": "Belgium", "hyderabad": "Pakistan", "bergen": "United States",
+}
+
 # ---------------------------------------------------------------------------
 # Cluster names by id, and the signature skills documented for
 # each cluster (used to name clusters from their centres, SURVEY Q11).

@@ -23,13 +23,11 @@ def test_session_leaves_submitted_partitions_alone(spark):
 
 def test_cooccurrence_beyond_64_skills(spark):
     """70 jobs with one skill each have no pairs of different skills."""
-    jobs = spark.range(70).select(F.col("id"), F.col("id").alias("job_id"), F.concat(F.lit("s"), F.col("id").cast("string")).alias("skill"))
-    original = reports.job_skills
-    reports.job_skills = lambda silver: silver.select("job_id", "skill")
-    try:
-        got = reports.skill_cooccurrence(jobs, 70).collect()
-    finally:
-        reports.job_skills = original
+    from hirelens import refdata as R
+    empty = F.array().cast("array<string>")
+    jobs = spark.range(70).select("id", *[F.array(F.concat(F.lit("s"), F.col("id").cast("string"))).alias(c) if i == 0 else empty.alias(c)
+                                          for i, c in enumerate(R.SKILL_COLUMNS)])
+    got = reports.skill_cooccurrence(jobs, 70).collect()
     assert len(got) == 70 and all(r.skill_a == r.skill_b and r.n == 1 for r in got)
 
 
