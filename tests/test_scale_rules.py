@@ -48,10 +48,13 @@ def test_last_part_of_a_location_decides(spark, place, country):
 
 
 def test_gazetteer_join_has_no_nested_loop(spark):
-    rows = spark.createDataFrame([(1, "Springfield (old town)"), (2, "nowhere"), (3, None)], "id int, location string")
-    keys = spark.createDataFrame([("springfield", "United States", 1), ("old town", "Kenya", 2)], "key string, country string, priority int")
+    rows = spark.createDataFrame([(1, "Springfield (suburb)"), (2, "nowhere"), (3, None), (4, "Springfield, Old Town"), (5, "Old Town, Springfield")], "id int, location string")
+    keys = spark.createDataFrame([("springfield", "Canada", 2), ("springfield", "United States", 1), ("old town", "Canada", 9)], "key string, country string, priority int")
     got = resolve_countries(rows, "location", keys)
-    assert {r.id: r.country for r in got.collect()} == {1: "United States", 2: "Unknown", 3: "Unknown"}
+    # Of a name's countries the lowest priority counts, unless a neighbour names one of the others.
+    assert {r.id: r.country for r in got.collect()} == {1: "United States", 2: "Unknown", 3: "Unknown", 4: "Canada", 5: "Canada"}
+    with pytest.raises(Exception, match="more than 1 words: old town"):
+        resolve_countries(rows, "location", keys, max_words=1).collect()
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
