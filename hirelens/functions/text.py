@@ -90,8 +90,38 @@ def word_regex(alternatives: list[str], escape: bool = True) -> str:
     return rf"\b(?:{alts})\b"
 
 
+# One item of a list literal: quoted either way, with escapes, or bare (numbers, None).
+_ITEM = r"""(?:'[^'\\]*+(?:\\[\s\S][^'\\]*+)*+'|"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"|[^\s,'"\[\]]++)"""
+_LITERAL = rf"^\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*+,?\s*)?\]\s*$"
+# Escapes of a quoted item and what they stand for.
+_ESCAPES = {"\\n": "\n", "\\t": "\t", "\\r": "\r", "\\'": "'", '\\"': '"'}
+_ASIDE = "\u0001"
+
+
+def _unescape(s: Column) -> Column:
+    """Escapes resolved; a doubled backslash is set aside first, so that one before an n stays what it is."""
+    s = F.replace(s, F.lit("\\\\"), F.lit(_ASIDE))
+    for escaped, plain in _ESCAPES.items():
+        s = F.replace(s, F.lit(escaped), F.lit(plain))
+    return F.replace(s, F.lit(_ASIDE), F.lit("\\"))
+
+
 def parse_list_literal(c: ColumnOrName) -> Column:
-    """K7: a Python-style list literal "['a', 'b']" → array<string> (legacy CSV cells); bad → []."""
-    as_json = F.regexp_replace(col(c), r"'", '"')
-    arr = F.from_json(as_json, "array<string>")
-    return F.filter(F.transform(F.coalesce(arr, F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x != "")
+    """K7: a Python-style list literal "['a', 'b']" → array<string> (legacy CSV cells).
+
+    Items may be quoted either way and hold the other quote, commas, brackets and
+    escapes (a backslash before a quote, a backslash, n, t or r).  Bare items stay
+    as written, but for None, which is dropped as empty items are.  Anything that
+    isn't one flat list of such items → [].
+    """
+    text = col(c)
+    empty = F.array().cast("array<string>")
+    inner = F.regexp_replace(text, r"^\s*\[|\]\s*$", "")
+    items = F.when(text.rlike(_LITERAL), F.regexp_extract_all(inner, F.lit(_ITEM), 0)).otherwise(empty)
+
+    def value(x: Column) -> Column:
+        quoted = F.left(x, F.lit(1)).isin("'", '"')
+        bare = F.when(x == "None", F.lit("")).otherwise(x)
+        return F.trim(F.when(quoted, _unescape(F.substring(x, F.lit(2), F.length(x) - 2))).otherwise(bare))
+
+    return F.filter(F.transform(F.coalesce(items, empty), value), lambda x: x != "")

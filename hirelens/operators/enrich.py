@@ -18,6 +18,7 @@ from hirelens.functions import salary as L
 from hirelens.functions.skills import extract_skills_from_found, keywords_found
 from hirelens.functions.literals import lit_map
 from hirelens.functions.text import all_obfuscated, normalize_text
+from hirelens.operators.keywords import with_keywords
 
 REQUIRED_COLUMNS = ["title", "description"]
 SALARY_COLUMNS = [
@@ -79,33 +80,47 @@ def drop_obfuscated_rows(df: DataFrame, key_cols: list[str] | None = None) -> Da
     return df.where(~all_obfuscated(key_cols))
 
 
-def enrich(bronze: DataFrame, rates: dict[str, float] | DataFrame | None = None,
-           drop_obfuscated: bool = True, word_boundary: bool = False) -> DataFrame:
-    """Silver postings: bronze + salary, experience, country, skills, work/employment type."""
-    require_columns(bronze, REQUIRED_COLUMNS)
+def enrich(bronze: DataFrame, rates: dict[str, float] | DataFrame | None = None, drop_obfuscated: bool = True, word_boundary: bool = False,
+           keywords: dict[str, list[str]] | DataFrame | None = None, gazetteer: DataFrame | None = None) -> DataFrame:
+    """Silver postings: bronze + salary, experience, country, skills, work/employment type.
+
+    Callers may bring their own tables: ``rates`` (code, rate); ``keywords``, as
+    lists by skill column (compiled into one regex) or as a table (category,
+    keyword[, canonical]) of any size, joined on ``id``; ``gazetteer`` (key,
+    country, priority) of any size, joined on the distinct locations.  Without
+    them the whole enrichment is one projection.
+    """
+    require_columns(bronze, REQUIRED_COLUMNS if not isinstance(keywords, DataFrame) else [*REQUIRED_COLUMNS, "id"])
     df = bronze.withColumns({"title": normalize_text("title"), "description": normalize_text("description")})
     if drop_obfuscated:
         df = drop_obfuscated_rows(df)
     header = _maybe(df, "header_text")
-    if "location" in df.columns:
+    if "location" not in df.columns:
+        df = df.withColumn("country", F.lit(R.UNKNOWN_COUNTRY))
+    elif gazetteer is not None:
+        df = resolve_countries(df, "location", gazetteer)
+    else:
         df = df.withColumn("_loc", G.clean_location(F.col("location")))
         df = df.withColumn("country", G.country_of_clean(F.col("_loc"))).drop("_loc")
-    else:
-        df = df.withColumn("country", F.lit(R.UNKNOWN_COUNTRY))
     df = L.with_salary_header_first(df, header, F.col("title"), F.col("description"), "_best", normalized=True)
     # lower-cased texts shared by the classifiers and the skill scan, computed once per row
     df = df.withColumns({
         "_t": F.lower("title"), "_d": F.lower("description"),
         "_h": F.lower(normalize_text(header)),
     })
-    df = df.withColumns({"_td": F.concat_ws(" ", "_t", "_d"), "_kw": keywords_found(F.col("_d"))})
+    by_table = isinstance(keywords, DataFrame)
+    lists = None if by_table else keywords
+    df = df.withColumns({"_td": F.concat_ws(" ", "_t", "_d")} | ({} if by_table else {"_kw": keywords_found(F.col("_d"), lists)}))
     fallback = G.country_currency(F.col("country"))
     cols = L.salary_fields(F.col("_best"), fallback_currency=fallback)
     cols["experience_level"] = X.experience_level("_t", "_d", word_boundary=word_boundary, normalized=True)
-    cols.update(extract_skills_from_found(F.col("_kw")))
+    if not by_table:
+        cols.update(extract_skills_from_found(F.col("_kw"), lists))
     cols["work_type"] = X.header_first_of(X.work_type_of, "_h", "_td")
     cols["employment_type"] = X.header_first_of(X.employment_type_of, "_h", "_td")
     df = df.withColumns(cols).drop("_best", "_kw", "_t", "_d", "_h", "_td")
+    if by_table:
+        df = with_keywords(df, "id", F.col("description"), keywords, R.SKILL_COLUMNS)
     return annualize(df, rates)
 
 

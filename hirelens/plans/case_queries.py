@@ -15,9 +15,11 @@ from hirelens.functions import salary as L
 from hirelens.functions.literals import lit_array
 from hirelens.functions.text import join_list, parse_list_literal
 from hirelens.operators.enrich import annualize, default_gazetteer, reextract_salary, resolve_countries
+from hirelens.operators.keywords import default_keywords, with_keywords
 from hirelens.plans.common import m2, money, read
-from hirelens.plans.expected_sql import _values
+from hirelens.plans.expected_sql import _values, cte
 from hirelens.plans.registry import register
+from hirelens.sources import driver_tables as T
 from hirelens.sources.files import read_rates
 
 N = None
@@ -211,3 +213,45 @@ def country_cases_join(spark, d):
     """G1 + G2 + J8, join form over a gazetteer table: the same answers."""
     rows = _cases(spark, d, {"location": [c[0] for c in COUNTRY_CASES]})
     return resolve_countries(rows, "location", default_gazetteer(spark)).select("id", "country")
+
+
+# ------------------------------------------------------------------ keyword tables
+_SKILL_SQL = ", ".join(
+    f"coalesce((SELECT string_agg(skill, ';' ORDER BY skill) FROM exp_job_skills s WHERE s.job_id = p.id AND s.skill_category = '{c}'), '') AS {c}"
+    for c in R.SKILL_COLUMNS)
+
+
+@register("skills_by_join", cte() + f"SELECT p.id, {_SKILL_SQL} FROM exp_postings p")
+def skills_by_join(spark, d):
+    """K1 in join form: the built-in keywords as a table, the same rows as the regex form."""
+    found = with_keywords(T.bronze_postings(spark, d).select("id", "description"), "id", F.col("description"), default_keywords(spark), R.SKILL_COLUMNS)
+    return found.select("id", *[F.concat_ws(";", c).alias(c) for c in R.SKILL_COLUMNS])
+
+
+@register("keywords_by_join_large", cte() + f"SELECT p.id, p.company AS companies, {_SKILL_SQL} FROM exp_postings p")
+def keywords_by_join_large(spark, d):
+    """2.14: a caller's table beside the built-in one; every customer's name is a keyword of its own category, so it grows with the data."""
+    names = read(spark, d, "customer").select(F.lit("companies").alias("category"), F.col("c_name").alias("keyword"), F.col("c_name").alias("canonical"))
+    rows = T.bronze_postings(spark, d).select("id", F.concat_ws(" ", F.col("description"), F.lit("Apply to"), F.concat(F.col("company"), F.lit("."))).alias("text"))
+    found = with_keywords(rows, "id", F.col("text"), default_keywords(spark).unionByName(names), ["companies", *R.SKILL_COLUMNS])
+    return found.select("id", *[F.concat_ws(";", c).alias(c) for c in ["companies", *R.SKILL_COLUMNS]])
+
+
+# ------------------------------------------------------------------ list literals
+LITERAL_CASES = [
+    ("['a', 'b']", ["a", "b"]), ("[\"it's\", 'b']", ["it's", "b"]), ("['x\"y']", ['x"y']), (r"['it\'s', 'b']", ["it's", "b"]),
+    (r'["say \"hi\"", "b"]', ['say "hi"', "b"]), (r"['back\\slash']", ["back\\slash"]), (r"['line\nbreak', 'tab\there']", ["line\nbreak", "tab\there"]),
+    (r"['not\\n a break']", ["not\\n a break"]), ("[]", []), ("[ ]", []), ("['one']", ["one"]), ("['a, b', 'c']", ["a, b", "c"]),
+    ("['[x]', ']']", ["[x]", "]"]), ("['a',]", ["a"]), ("[ 'a' , \"b\" ]", ["a", "b"]), ("['', 'b', ' ']", ["b"]), ("[None, 'a']", ["a"]),
+    ("[1, 2.5, 'c++']", ["1", "2.5", "c++"]), ("['é', '日本']", ["é", "日本"]), ("['a'", []), ("not a list", []), ("", []), ("['a'], ['b']", []),
+    ("['a', ['b']]", []), (N, []),
+]
+
+
+@register("list_literal_cases", f"""
+WITH c(k, skills) AS (VALUES {_values([(i, "|".join(c[1])) for i, c in enumerate(LITERAL_CASES)])})
+SELECT o_orderkey AS id, c.skills FROM orders JOIN c ON c.k = o_orderkey % {len(LITERAL_CASES)}""")
+def list_literal_cases(spark, d):
+    """K7: quotes, escapes, commas and brackets inside items; what isn't a list is empty."""
+    rows = _cases(spark, d, {"cell": [c[0] for c in LITERAL_CASES]})
+    return rows.select("id", join_list(parse_list_literal("cell"), "|").alias("skills"))
