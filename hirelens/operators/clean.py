@@ -44,9 +44,15 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def apply_overrides(base: DataFrame, overrides: DataFrame, key: str) -> DataFrame:
-    """Hand patches keyed by ``key``; a non-null override value wins."""
+    """Hand patches keyed by ``key``; a non-null override value wins.
+
+    Two patches of one key fail the query: they would multiply the row, or
+    one of them would win by chance.
+    """
     cols = [c for c in overrides.columns if c != key]
-    o = overrides.select(key, *[F.col(c).alias(f"_o_{c}") for c in cols])
+    single = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit("several overrides for "), F.any_value(key).cast("string"))).cast("boolean"))
+    o = overrides.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.any_value(c).alias(f"_o_{c}") for c in cols], single.alias("_single")).where(F.col("_single").isNull())
     j = base.join(o, key, "left")
     return j.select(*[F.coalesce(F.col(f"_o_{c}"), F.col(c)).alias(c) if c in cols else F.col(c)
                       for c in base.columns])

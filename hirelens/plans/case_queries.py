@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 from hirelens import refdata as R
 from hirelens.functions import location as G
 from hirelens.functions import salary as L
+from hirelens.functions.header import page_header
 from hirelens.functions.literals import lit_array
-from hirelens.functions.text import join_list, parse_list_literal
+from hirelens.functions.text import join_list, parse_list, parse_list_literal
 from hirelens.operators.enrich import annualize, default_gazetteer, reextract_salary, resolve_countries
 from hirelens.operators.keywords import default_keywords, with_keywords
-from hirelens.plans.common import m2, money, read
+from hirelens.plans.common import m2, money, read, silver
 from hirelens.plans.expected_sql import _values, cte
 from hirelens.plans.registry import register
+from hirelens.session import scratch_path
 from hirelens.sources import driver_tables as T
-from hirelens.sources.files import read_rates
+from hirelens.sources.files import read_bronze_csv, read_rates, write_csv
 
 N = None
 # (header, text, currency, min, max, single, period)
@@ -255,3 +257,79 @@ def list_literal_cases(spark, d):
     """K7: quotes, escapes, commas and brackets inside items; what isn't a list is empty."""
     rows = _cases(spark, d, {"cell": [c[0] for c in LITERAL_CASES]})
     return rows.select("id", join_list(parse_list_literal("cell"), "|").alias("skills"))
+
+
+# ------------------------------------------------------------------ pages with badges
+_LOW, _HIDDEN = 'class="tvm__text tvm__text--low-emphasis"', 'class="visually-hidden"'
+HEADER_CASES = [
+    (f"<span {_LOW}><strong>$110K/yr - $130K/yr</strong></span><span {_LOW}><strong> Hybrid </strong></span>"
+     f"<span {_HIDDEN}>Matches your job preferences, job type is Full-time.</span>", "$110K/yr - $130K/yr; Hybrid\nHybrid\nFull-time"),
+    (f"<div {_LOW}>\n <strong>Remote</strong></div>", "Remote\nRemote"),
+    (f"<span {_LOW}><em><strong>&pound;50,000&nbsp;a year</strong></em></span>", "£50,000 a year"),
+    (f"<span id=x {_LOW} data-a='1'><strong class=b>Onsite</strong><strong>second</strong></span>", "Onsite\nOnsite"),
+    ("<span class='tvm__text--low-emphasis'><strong>$40/hr</strong></span>", "$40/hr"),
+    (f"<span {_HIDDEN}>Other</span><span {_HIDDEN}>Your job type is Contract.</span><span {_HIDDEN}>job type is Part-time.</span>", "Contract"),
+    (f"<span {_LOW}>no bold text</span><span {_LOW}><strong> </strong></span>", N),
+    ("<span class=\"tvm__text--low-emphasis-extra\"><strong>Remote</strong></span>", N),
+    (f"<SPAN {_LOW}><STRONG>HYBRID</STRONG></SPAN>", "HYBRID\nHYBRID"),
+    ("<p>nothing</p>", N), ("", N), (N, N),
+]
+
+
+@register("page_header_cases", f"""
+WITH c(k, header_text) AS (VALUES {_values([(i, c[1]) for i, c in enumerate(HEADER_CASES)])})
+SELECT page_id, c.header_text FROM pages JOIN c ON c.k = page_id % {len(HEADER_CASES)}""")
+def page_header_cases(spark, d):
+    """Badges put in front of the given pages, which have none of their own."""
+    at = (F.col("page_id") % len(HEADER_CASES) + 1).cast("int")
+    badge = F.element_at(lit_array([c[0] for c in HEADER_CASES]), at)
+    html = F.when(badge.isNotNull(), F.concat(badge, F.coalesce("html", F.lit(""))))
+    return read(spark, d, "pages").select("page_id", page_header(html).alias("header_text"))
+
+
+# ------------------------------------------------------------------ CSV with everything that needs quoting
+def _awkward(spark, d):
+    """Postings whose texts hold quotes, commas, line breaks, backslashes and outer spaces."""
+    b = T.bronze_postings(spark, d)
+    hard = F.concat(F.lit('He said "hi, there"\nsecond line\r\n\\n is no break; '), F.col("description"), F.lit('\n"'))
+    return b.select("id", F.concat(F.lit(' "'), F.col("title"), F.lit('", ')).alias("title"), "company", "location", "link", "source", "date_posted",
+                    F.when(F.col("id") % 3 == 0, "").otherwise(F.col("work_type")).alias("work_type"), "employment_type", hard.alias("description"), "header_text")
+
+
+_AWKWARD_SQL = cte() + r"""
+SELECT id, ' "' || title || '", ' AS title, company, date_posted, length(company) AS n, 'He said "hi, there"' || chr(10) || 'second line' || chr(13) || chr(10) || '\n is no break; ' AS head,
+       chr(10) || '"' AS tail, CASE WHEN c_mktsegment = '""" + T.HEADER_SEGMENT + r"""' THEN 'Hybrid' END AS header_text
+FROM exp_postings"""
+
+
+def _awkward_out(df):
+    head = F.length(F.lit('He said "hi, there"\nsecond line\r\n\\n is no break; '))
+    return df.select("id", "title", "company", "date_posted", F.length("company").cast("long").alias("n"), F.left("description", head).alias("head"),
+                     F.right("description", F.lit(2)).alias("tail"), "header_text")
+
+
+@register("csv_roundtrip_multiline", _AWKWARD_SQL)
+def csv_roundtrip_multiline(spark, d):
+    """S1 + S2: quoted fields over several lines (a file is one task)."""
+    path = scratch_path(spark, "csv-multiline")
+    write_csv(_awkward(spark, d), path)
+    return _awkward_out(read_bronze_csv(spark, path))
+
+
+@register("csv_roundtrip_splittable", _AWKWARD_SQL)
+def csv_roundtrip_splittable(spark, d):
+    """S1 + S2: line breaks written as escapes, so that a record is a line and large files are read in splits."""
+    path = scratch_path(spark, "csv-lines")
+    write_csv(_awkward(spark, d), path, splittable=True)
+    return _awkward_out(read_bronze_csv(spark, path, splittable=True))
+
+
+@register("silver_csv_roundtrip", cte() + f"SELECT p.id, p.country, p.experience_level, {_SKILL_SQL} FROM exp_postings p")
+def silver_csv_roundtrip(spark, d):
+    """S2 + K3 + K4: silver with its skill arrays as CSV cells, and back."""
+    path = scratch_path(spark, "silver-csv")
+    s = silver(spark, d).select("id", "country", "experience_level", *R.SKILL_COLUMNS)
+    write_csv(s, path)
+    schema = "id long, country string, experience_level string, " + ", ".join(f"{c} string" for c in R.SKILL_COLUMNS)
+    back = spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return back.select("id", "country", "experience_level", *[join_list(parse_list(c)).alias(c) for c in R.SKILL_COLUMNS])

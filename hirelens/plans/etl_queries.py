@@ -9,7 +9,7 @@ from hirelens.functions import location as G
 from hirelens.functions import roles as X
 from hirelens.functions import salary as L
 from hirelens.functions.header import BADGE_SITE, fallback_header, page_header, page_title
-from hirelens.functions.skills import extract_skills
+from hirelens.functions.skills import extract_skills_from_found, keywords_found
 from hirelens.functions.text import is_obfuscated, join_list, parse_list
 from hirelens.operators import clean, merge
 from hirelens.operators.enrich import annualize
@@ -239,9 +239,8 @@ _SKILLS_SQL = ", ".join(
 
 @register("extract_skills", E + f"SELECT p.id, {_SKILLS_SQL} FROM exp_postings p")
 def extract_skills_q(spark, d):
-    b = _bronze(spark, d)
-    cols = extract_skills(F.col("description"))
-    return b.select("id", *[F.concat_ws(";", v).alias(k) for k, v in cols.items()])
+    b = _bronze(spark, d).select("id", keywords_found(F.col("description")).alias("_kw"))  # one scan for the four columns
+    return b.select("id", *[F.concat_ws(";", v).alias(k) for k, v in extract_skills_from_found(F.col("_kw")).items()])
 
 
 @register("skill_list_roundtrip", E + """

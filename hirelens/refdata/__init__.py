@@ -383,5 +383,3 @@ def synthetic_rates() -> dict[str, float]:
     with open(_HERE / "rates_usd.json", encoding="utf-8") as fh:
         return json.load(fh)
 
-
-RATES_PATH = str(_HERE / "rates_usd.json")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,19 +27,54 @@ BRONZE_SCHEMA = T.StructType([
 ])
 
 
-def read_bronze_csv(spark: SparkSession, path: str, schema: T.StructType = BRONZE_SCHEMA) -> DataFrame:
-    """RFC-4180 CSV with header and multi-line quoted descriptions; bad dates → null."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+# Line breaks inside a splittable CSV cell, and the backslash that marks them.
+_LINE_ESCAPES = [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")]
+_ASIDE = "\u0001"
+
+
+def _one_line(c: Column) -> Column:
+    for plain, escaped in _LINE_ESCAPES:
+        c = F.replace(c, F.lit(plain), F.lit(escaped))
+    return c
+
+
+def _many_lines(c: Column) -> Column:
+    c = F.replace(c, F.lit("\\\\"), F.lit(_ASIDE))
+    for plain, escaped in _LINE_ESCAPES[1:]:
+        c = F.replace(c, F.lit(escaped), F.lit(plain))
+    return F.replace(c, F.lit(_ASIDE), F.lit("\\"))
+
+
+def read_bronze_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = BRONZE_SCHEMA, splittable: bool = False) -> DataFrame:
+    """RFC-4180 CSV with header; bad dates → null.
+
+    By default a quoted field may go over several lines, as the dumps have them;
+    such a file can't be cut, so each file is one task.  ``splittable`` files
+    (written so by :func:`write_csv`) have one record per line, with line breaks
+    as escapes, and are read in splits.
+    """
+    reader = (spark.read.schema(schema).option("header", True).option("multiLine", not splittable).option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("mode", "PERMISSIVE"))
+    df = reader.csv(path)
+    if splittable:
+        df = df.select(*[_many_lines(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
     if "date_posted" in df.columns and dict(df.dtypes)["date_posted"] == "string":
         df = df.withColumn("date_posted", F.try_to_date("date_posted"))
     return df
 
 
-def write_csv(df: DataFrame, path: str, array_sep: str = ";") -> None:
-    """CSV sink; array columns become ``;``-joined strings (K4)."""
-    cols = [join_list(c, array_sep).alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes]
-    df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, array_sep: str = ";", splittable: bool = False) -> None:
+    """CSV sink; array columns become ``;``-joined strings (K4); ``splittable`` as :func:`read_bronze_csv` says.
+
+    An empty string is written quoted and comes back empty, null is written bare and comes back null.
+    """
+    def cell(c: str, t: str) -> Column:
+        v = join_list(c, array_sep) if t.startswith("array") else F.col(c)
+        return (_one_line(v) if splittable and (t == "string" or t.startswith("array")) else v).alias(c)
+
+    out = df.select(*[cell(c, t) for c, t in df.dtypes])
+    (out.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -77,9 +112,11 @@ def replace_parquet(df: DataFrame, path: str) -> DataFrame:
 def read_rates(spark: SparkSession, path: str | None = None) -> DataFrame:
     """JSON object ``{code: units per USD}`` → (code, rate); USD=1 added; USD alone, with a warning, if there is no such file.
 
-    The file is one small object (≤ ~200 ISO codes), so it is read whole.
+    The file is one small object (≤ ~200 ISO codes).  Without a path the
+    package's own rates are read on the driver, whose folder executors don't see.
     """
-    path = path or R.RATES_PATH
+    if path is None:
+        return spark.createDataFrame(sorted(({**R.synthetic_rates(), "USD": 1.0}).items()), "code string, rate double")
     try:
         raw = spark.read.option("multiLine", True).text(path, wholetext=True)
         m = raw.select(F.from_json("value", "map<string,double>").alias("m"))
