@@ -1,7 +1,9 @@
-"""Literal arrays / maps built from one SQL expression (one JVM call, not one per element)."""
+"""Constant arrays and maps: one JVM call, and one node of the plan, not one per element."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,9 +21,25 @@ def sql_literal(v) -> str:
     return f"'{s}'"
 
 
+_ITEM, _PAIR = "\u001e", "\u001f"
+
+
+def _plain(values) -> bool:
+    return all(isinstance(v, str) and _ITEM not in v and _PAIR not in v for v in values)
+
+
 def lit_array(values) -> Column:
+    """A constant array.  Strings travel as one literal that the optimizer splits once, not as a node per element."""
+    values = list(values)
+    if values and _plain(values):
+        return F.split(F.lit(_ITEM.join(values)), _ITEM, -1)
     return F.expr("array(" + ", ".join(sql_literal(v) for v in values) + ")")
 
 
 def lit_map(d: dict) -> Column:
+    """A constant map; maps of strings, and of strings to doubles, as one literal that the optimizer parses once."""
+    if d and _plain(d) and _plain(d.values()):
+        return F.str_to_map(F.lit(_ITEM.join(f"{k}{_PAIR}{v}" for k, v in d.items())), F.lit(_ITEM), F.lit(_PAIR))
+    if d and _plain(d) and all(isinstance(v, float) for v in d.values()):
+        return F.from_json(F.lit(json.dumps(d)), "map<string,double>")
     return F.expr("map(" + ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in d.items()) + ")")

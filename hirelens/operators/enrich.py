@@ -1,9 +1,8 @@
 """Bronze → silver enrichment (E1), as one lazy projection plan.
 
 Every extractor is a Column expression, so the whole enrichment is a single
-narrow stage per input partition: no shuffle, no Python worker.  The only
-lookup with a table, the FX rates, is either a literal map (the default,
-bounded dict) or an equi-join, broadcast or not as Spark's statistics say.
+narrow stage per input partition: no shuffle, no Python worker.  The FX rates
+are a constant map, from a dict or from a table.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from hirelens.functions.text import all_obfuscated, normalize_text
 from hirelens.operators.keywords import with_keywords
 
 REQUIRED_COLUMNS = ["title", "description"]
+MAX_RATES = 10_000
 SALARY_COLUMNS = [
     "has_salary", "currency_raw", "min_salary_raw", "max_salary_raw", "single_salary_raw", "salary_period",
     "min_salary_annual_usd", "max_salary_annual_usd", "avg_salary_annual_usd", "salary_confidence",
@@ -40,6 +40,17 @@ def _maybe(df: DataFrame, name: str) -> Column:
 
 
 
+def _rate_map(rates: DataFrame) -> Column:
+    """A table of rates as one constant map, so that rows of a common currency meet it where they are.
+
+    There are some two hundred currencies; a table of more than ``MAX_RATES``
+    codes is none of rates, and fails the query, as a code with two rates does.
+    """
+    entries = F.map_from_entries(F.collect_list(F.struct("code", "rate")))
+    checked = F.when(F.count(F.lit(1)) <= MAX_RATES, entries).otherwise(F.raise_error(F.lit(f"more than {MAX_RATES} currency rates")).cast("map<string,double>"))
+    return rates.where(F.col("code").isNotNull()).select("code", F.col("rate").cast("double").alias("rate")).agg(checked.alias("m")).scalar()
+
+
 def annualize(df: DataFrame, rates: dict[str, float] | DataFrame | None = None) -> DataFrame:
     """L16-L17 + L12: min/max/avg annual USD from the raw amounts.
 
@@ -47,12 +58,10 @@ def annualize(df: DataFrame, rates: dict[str, float] | DataFrame | None = None)
     zero rate → null; anything above 1 000 000 annual USD → null (raw kept).
     """
     if rates is None or isinstance(rates, dict):
-        table = rates if rates is not None else R.synthetic_rates()
-        m = lit_map({k: float(v) for k, v in table.items()})
-        out = df.withColumn("_rate", F.element_at(m, F.col("currency_raw")))
+        table = lit_map({k: float(v) for k, v in (rates if rates is not None else R.synthetic_rates()).items()})
     else:
-        r = rates.select(F.col("code").alias("_code"), F.col("rate").alias("_rate"))
-        out = df.join(r, F.col("currency_raw") == F.col("_code"), "left").drop("_code")
+        table = _rate_map(rates)
+    out = df.withColumn("_rate", F.element_at(table, F.col("currency_raw")))
     rate = F.coalesce(F.col("_rate"), F.lit(1.0))
     rate = F.when(rate != 0, rate)
     mult = L.period_multiplier(F.col("salary_period"))

@@ -317,7 +317,7 @@ def bronze_csv_roundtrip(spark, d):
 @register("salary_with_rates_table", E + f"""
 SELECT id, currency_raw, {m2('avg_salary_annual_usd')} AS avg_salary_annual_usd FROM exp_postings""")
 def salary_with_rates_table(spark, d):
-    """S5 + J2: rates read from the JSON object file and joined (size-checked broadcast)."""
+    """S5 + J2: rates as a table, turned into one constant map."""
     from hirelens.sources.files import read_rates
     b = _bronze(spark, d)
     df = L.with_salary_header_first(b, F.col("header_text"), F.col("title"), F.col("description"), "_best")
