@@ -8,6 +8,8 @@ registers make candidate groups.  The work is then:
 2. in each candidate group every class is compared with two centres (those
    first and last in the order of the class ids), not with all others: the
    collision-corrected register estimate first, then the full shingle sets;
+   pairs are decided in blocks, to which each class's registers or shingles go
+   once, and a block gives out only true links that join what it hasn't joined;
 3. components of the links; a group whose classes all are in one component is done;
 4. in the other groups, classes of different components are compared in blocks
    of bounded size by their registers; each one's likeliest partner is verified
@@ -48,6 +50,8 @@ MANTISSA = 10
 COLLISION = 2.0**-MANTISSA / 3
 ERRORS = 3.5
 BLOCK = 1024
+#: Shingles of the pairs or cells of a task.
+TASK = 4_000_000
 CACHE_WORDS = 500_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -192,23 +196,47 @@ def estimates(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (same / np.maximum(used, 1) - COLLISION) / (1 - COLLISION), used
 
 
-def plausible(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)`` of the pairs whose sizes and register estimates allow the similarity."""
-    side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("regs").alias(f"regs_{c}"))
-    fit = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity
+def in_blocks(pairs: DataFrame, needed: DataFrame, classes: DataFrame, run, schema: str) -> DataFrame:
+    """``run(pairs, classes)`` for each block ``task`` of ``pairs``, with the rows of ``classes`` (cls, …) that ``needed`` (task, cls) names, each once."""
+    side = needed.select(F.col("task").alias("block"), "cls").distinct().join(classes, "cls")
+    return pairs.groupBy("task").cogroup(side.groupBy("block")).applyInPandas(run, schema)
+
 
-    @F.pandas_udf("boolean")
-    def passes(x: pd.Series, y: pd.Series, n: pd.Series) -> pd.Series:
-        to = lambda s: np.frombuffer(b"".join(s), dtype=np.uint16).reshape(len(s), -1)
-        e, used = estimates(to(x), to(y))
-        return pd.Series(e >= least_estimate(used, n.to_numpy(), similarity))
+def both_sides(pairs: DataFrame) -> DataFrame:
+    return pairs.select("task", F.col("a").alias("cls")).union(pairs.select("task", "b"))
 
-    joined = pairs.join(side("a"), "a").where("regs_a is not null").join(side("b"), "b").where(fit)
-    return joined.where(passes("regs_a", "regs_b", F.col("n_a") + F.col("n_b"))).select("a", "b")
 
+def plausible(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b, w)`` of the pairs whose sizes and register estimates allow the similarity; w: both sizes.
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """``(a, b)`` of the pairs whose full shingle sets are similar enough."""
+    Blocks are dealt by ``a``, so that one class with very many partners ``b`` is
+    spread with them.
+    """
+    tasks = max(parallelism(pairs.sparkSession), pairs.count() // 50_000 + 1)
+
+    def run(p: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        at = pd.Index(c["cls"])
+        regs = np.frombuffer(b"".join(c["regs"]), dtype=np.uint16).reshape(len(c), -1)
+        x, y, n = at.get_indexer(p["a"]), at.get_indexer(p["b"]), c["n"].to_numpy()
+        keep = np.zeros(len(p), dtype=bool)
+        for lo in range(0, len(p), 4096):
+            i, j = x[lo : lo + 4096], y[lo : lo + 4096]
+            e, used = estimates(regs[i], regs[j])
+            fit = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j])
+            keep[lo : lo + 4096] = fit & (e >= least_estimate(used, n[i] + n[j], similarity))
+        return pd.DataFrame({"a": p["a"].to_numpy()[keep], "b": p["b"].to_numpy()[keep], "w": (n[x] + n[y])[keep]})
+
+    dealt = pairs.withColumn("task", F.pmod(F.xxhash64("a"), F.lit(tasks)))
+    return in_blocks(dealt, both_sides(dealt), classes.select("cls", "n", "regs"), run, "a long, b long, w long")
+
+
+def verified(pairs: DataFrame, needed: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(a, b)``: links of the pairs (task, a, bs: a's partners) whose full shingle sets are similar enough.
+
+    ``needed`` (task, cls) names the classes of each block.  Pairs that earlier
+    links of the same block join already are not tested, as they change no
+    component, so a block gives fewer links than it has classes.
+    """
 
     def shingle_sets(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingler(size)
@@ -219,18 +247,43 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
                 if at:
                     yield pd.DataFrame({"c": c[at], "s": [sets[i].view(np.int64) for i in at]})
 
-    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    def run(p: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        sets = dict(zip(c["cls"], c["s"], strict=True))
+        root: dict[int, int] = {}
+
+        def find(i: int) -> int:
+            while (up := root.get(i, i)) != i:
+                root[i] = root.get(up, up)
+                i = up
+            return i
+
+        links = []
+        for i, partners in zip(p["a"].tolist(), p["bs"], strict=True):
+            for j in partners.tolist():
+                x, y = find(i), find(j)
+                if x == y:
+                    continue
+                s, t = sets[i], sets[j]
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                if 100 * both >= percent * (len(s) + len(t) - both):
+                    root[x] = y
+                    links.append((i, j))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    needed = cut(needed.distinct(), "near-needed")
+    wanted = needed.select("cls").distinct()
     rep = classes.join(wanted, "cls").select(F.col("cls").alias("c"), "rep")
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").where("text is not null").join(rep, "rep")
-    sets = cut(texts.select("c", "text").mapInPandas(shingle_sets, "c long, s array<long>"), "near-sets")
-    side = lambda c: sets.select(F.col("c").alias(c), F.col("s").alias(f"s_{c}"))
-    both = F.size(F.array_intersect("s_a", "s_b")).cast("long")
-    tested = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("i", both)
-    return tested.where(100 * F.col("i") >= percent * (F.size("s_a") + F.size("s_b") - F.col("i"))).select("a", "b").distinct()
+    # Rows that repeat a doc_id and text give a set again.
+    sets = texts.select("c", "text").mapInPandas(shingle_sets, "c long, s array<long>").groupBy("c").agg(F.first("s").alias("s"))
+    return in_blocks(pairs, needed, cut(sets.withColumnRenamed("c", "cls"), "near-sets"), run, "a long, b long")
 
 
 def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity: float, best: bool = False) -> DataFrame:
-    """``(a, b)``: plausible pairs of different components within a candidate group, centres aside.
+    """``(task, a, bs)``: plausible pairs of different components within a candidate group, centres aside.
+
+    One row for each class of a cell that is in a pair, with its partners there
+    (fewer than the cell has classes), perhaps none where it is only a partner.
 
     ``best``: for each class and cell only the likeliest partner, at most as many pairs as there are classes.
 
@@ -247,15 +300,18 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-    tasks = max(parallelism(members.sparkSession), cells.count() // 50_000 + 1)
+    # A task's cells have room for their registers, and later for their shingles.
+    count, weight = cells.agg(F.count(F.lit(1)), F.sum("n")).first()
+    tasks = max(parallelism(members.sparkSession), count // 50_000 + 1, (weight or 0) // TASK + 1)
     cells = cells.withColumn("task", F.pmod(F.xxhash64("band", "key", "lo", "hi"), F.lit(tasks)))
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found, task = [], part["task"].iloc[0]
         for (band, _, lo, hi), cell in part.groupby(["band", "key", "lo", "hi"], sort=False):
             regs = np.frombuffer(b"".join(cell["regs"]), dtype=np.uint16).reshape(len(cell), -1)
             cls, comp, n, own = (cell[c].to_numpy() for c in ("cls", "comp", "n", "own"))
             used = regs != 0
+            partners: dict[int, np.ndarray] = {}
             for i in range(len(cell)):
                 ok = (comp != comp[i]) & (cls > cls[i]) & (np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
                 ok &= (own != own[i]) if lo != hi else True
@@ -266,14 +322,18 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
                 fits = e >= least_estimate(both, n[at] + n[i], similarity)
                 at, e = at[fits], e[fits]
                 if best and len(at):
-                    found.append(pd.DataFrame({"a": cls[i], "b": cls[at[np.argmax(e)]]}, index=[0]))
-                    continue
-                same = ((regs[at] == regs[i]).reshape(len(at), BANDS, ROWS).all(axis=2)) & used[i].reshape(BANDS, ROWS).any(axis=1)
-                at = at[same.argmax(axis=1) == band] if len(at) else at
-                found.append(pd.DataFrame({"a": cls[i], "b": cls[at]}))
-        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+                    at = at[[np.argmax(e)]]
+                elif len(at):
+                    same = ((regs[at] == regs[i]).reshape(len(at), BANDS, ROWS).all(axis=2)) & used[i].reshape(BANDS, ROWS).any(axis=1)
+                    at = at[same.argmax(axis=1) == band]
+                if len(at):
+                    partners[i] = at
+            if partners:
+                involved = np.unique(np.concatenate([list(partners), *partners.values()]))
+                found += [(task, cls[i], cls[partners[i]] if i in partners else cls[:0]) for i in involved.tolist()]
+        return pd.DataFrame(found, columns=["task", "a", "bs"])
 
-    return cells.select("band", "key", "lo", "hi", "cls", "comp", "n", "own", "regs", "task").groupBy("task").applyInPandas(run, "a long, b long")
+    return cells.select("band", "key", "lo", "hi", "cls", "comp", "n", "own", "regs", "task").groupBy("task").applyInPandas(run, "task long, a long, bs array<long>")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
@@ -285,19 +345,20 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     banded = classes.select("cls", F.posexplode("keys").alias("band", "key")).where("key <> 0")
     groups = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), F.min("cls").alias("first"), F.max("cls").alias("last")).where("size > 1")
     members = cut(banded.join(groups, ["band", "key"]), "near-groups")
-    star = members.select(F.col("first").alias("a"), F.col("cls").alias("b")).union(members.select("cls", "last")).where("a <> b")
-    star = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = cut(verified(cut(plausible(star, classes, similarity), "near-star"), docs, classes, size, percent), "near-links")
-    likeliest = cut(across(members, classes, components(links), similarity, best=True).distinct(), "near-likeliest")
-    links = cut(links.union(verified(likeliest, docs, classes, size, percent)), "near-links")
-    more = cut(across(members, classes, components(links), similarity), "near-across")
-    more = verified(more, docs, classes, size, percent)
+    star = members.select(F.col("cls").alias("a"), F.col("first").alias("b")).union(members.select("cls", "last")).where("a <> b").distinct()
+    star = cut(plausible(cut(star, "near-star"), classes, similarity), "near-plausible")
+    tasks = max(parallelism(docs.sparkSession), (star.agg(F.sum("w")).first()[0] or 0) // TASK + 1)
+    star = star.withColumn("task", F.pmod(F.xxhash64("a"), F.lit(tasks)))
+    links = cut(verified(star.select("task", "a", F.array("b").alias("bs")), both_sides(star), docs, classes, size, percent), "near-links")
+    for best in (True, False):
+        pairs = cut(across(members, classes, components(links), similarity, best), "near-across")
+        links = cut(links.union(verified(pairs, pairs.select("task", F.col("a").alias("cls")), docs, classes, size, percent)), "near-links")
 
     # A doc_id with several texts ties their classes together.
     ids = usable.select("doc_id", "cls").distinct()
     several = ids.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("z")).where("a <> z")
     tied = ids.join(several, "doc_id").where("cls <> a").select("a", F.col("cls").alias("b"))
-    labels = components(links.union(more).union(tied))
+    labels = components(links.union(tied))
 
     of_class = classes.select("cls", "rep").join(labels, F.col("cls") == F.col("node"), "left").select(
         "cls", "rep", F.coalesce("label", "cls").alias("label"))
