@@ -22,7 +22,7 @@ from hirelens.llm.common import cut, strip_spaces, with_columns_last
 
 WEIGHTS = (5, 2, 1)
 RESULT = ["size", "source_size", "target", "taken"]
-#: Hex digits of the key that choose the bucket: 15 digits are below 2**60.
+#: Hex digits of the key that choose the bucket: 13 digits are exact in a double.
 KEY_DIGITS = 13
 
 
@@ -52,12 +52,46 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share
     return s.withColumn("__target", F.when(F.col("__capped"), F.col("__cap")).otherwise(F.col("__w") * F.col("__rest") / F.col("__rest_w")))
 
 
+def document_key(*more: Column) -> Column:
+    """The hash-random key of a row, by doc_id and text (and ``more``)."""
+    return F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")), *more))
+
+
+def mix_documents(docs: DataFrame, **how: object) -> DataFrame:
+    """``docs`` with all its columns, and size, source_size, target and taken.
+
+    Rows are placed without their texts (``mix_sources`` over narrow rows); then
+    the result joins the texts, which move once.  Rows that agree in doc_id, text
+    and source are interchangeable: each such group has at most three different
+    values of taken, and its rows share them out by number.
+    """
+    names = with_columns_last(docs, RESULT).columns
+    tag = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
+    narrow = docs.select("doc_id", "text", "source", document_key(tag).alias("__k"))
+    placed = mix_sources(narrow, carry=["__k"], **how)
+    values = placed.groupBy("__k", "taken").agg(F.count(F.lit(1)).alias("__c"), *[F.any_value(c).alias(c) for c in RESULT[:3]])
+    shares = values.groupBy(F.col("__k").alias("__of")).agg(
+        F.array_sort(F.collect_list(F.struct("taken", "__c"))).alias("__shares"), *[F.any_value(c).alias(c) for c in RESULT[:3]])
+    keyed = docs.select(*[F.col(f"`{c}`") for c in names], document_key(tag).alias("__k"))
+    # The join's own partitioning and order serve the numbering, too.
+    number = F.row_number().over(Window.partitionBy("__k").orderBy("__k"))
+    joined = keyed.withColumn("__i", number).join(shares.hint("merge"), F.col("__k") == F.col("__of"))
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0).cast("long").alias("taken"))
+
+    def share(acc: Column, x: Column) -> Column:
+        here = (F.col("__i") > acc["seen"]) & (F.col("__i") <= acc["seen"] + x["__c"])
+        return F.struct((acc["seen"] + x["__c"]).alias("seen"), F.when(here, x["taken"]).otherwise(acc["taken"]).alias("taken"))
+
+    taken = F.when(F.size("__shares") == 1, F.get("__shares", F.lit(0))["taken"]).otherwise(F.aggregate("__shares", start, share)["taken"])
+    return joined.select(*[F.col(f"`{c}`") for c in names], *RESULT[:3], taken.alias("taken"))
+
+
 def mix_sources(docs: DataFrame, carry: list[str] | None = None, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5,
                 most: float = 2.0, bucket_rows: int = 2000) -> DataFrame:
     """``docs`` (or its columns ``carry``) with size, source_size, target and taken."""
     kept = with_columns_last(docs, RESULT)
     names = [c for c in (carry or kept.columns) if c in kept.columns]
-    key = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
+    key = document_key()
     rows = cut(kept.select(*[F.col(f"`{c}`") for c in names], F.col("source").alias("__source"), F.col("doc_id").alias("__id"),
                            n_words(F.col("text")).alias("size"), key.alias("__key")), "mixing-rows")
     sources = rows.groupBy("__source").agg(F.sum("size").alias("__size"), F.count(F.lit(1)).alias("__rows"))

@@ -17,7 +17,8 @@ registers make candidate groups.  The work is then:
    pass; the components of all links are the result.
 
 Steps 2 and 4 together see every pair of different components that shares a
-band, so skipping pairs inside a component loses no document.  A pair at the
+band, so skipping pairs inside a component loses no document.  There are as many
+bands as the threshold asks for (32 for 0.85, 50 for 0.8): a pair at the
 threshold shares no band with probability 3e-7, and fails the estimate (3.5
 standard errors and one register below the threshold) with 1e-4 or less.  Class ids have 64 bits:
 among 10**9 different texts, a collision is expected with probability 0.03.
@@ -31,6 +32,7 @@ table gives an empty result; input columns other than doc_id and text are not re
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -43,8 +45,9 @@ from pyspark.sql import functions as F
 from hirelens.llm.common import cut, parallelism
 from hirelens.llm.components import components
 
-BANDS, ROWS = 32, 6
-REGISTERS = BANDS * ROWS
+ROWS = 6
+#: Chance that a pair at the threshold shares no band; the bands are as many as that asks for.
+MISS = 3e-7
 MANTISSA = 10
 #: Chance that two different minima share a register: the mantissa agrees, and the leading zeros, which have geometric odds.
 COLLISION = 2.0**-MANTISSA / 3
@@ -56,6 +59,14 @@ CACHE_WORDS = 500_000
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
+def bands_for(similarity: float) -> int:
+    return max(1, math.ceil(math.log(MISS) / math.log(1 - similarity**ROWS))) if similarity < 1 else 1
+
+
+#: Registers for the contract's threshold.
+REGISTERS = bands_for(0.85) * ROWS
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit sums so that all bits of the result are usable."""
     h = (h ^ (h >> np.uint64(32))) * ODD[3]
@@ -142,8 +153,8 @@ def registers(sets: list[np.ndarray], count: int = REGISTERS) -> np.ndarray:
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """A 64-bit key for each row's bands; 0 for a band without a register in use."""
-    rows = regs.reshape(len(regs), BANDS, ROWS).astype(np.uint64)
-    total = np.zeros((len(regs), BANDS), dtype=np.uint64)
+    rows = regs.reshape(len(regs), -1, ROWS).astype(np.uint64)
+    total = np.zeros(rows.shape[:2], dtype=np.uint64)
     for i in range(ROWS):
         total = mix(total + rows[:, :, i] * ODD[i % 3] + np.uint64(i + 1))
     return np.where(rows.any(axis=2), total | np.uint64(1), np.uint64(0)).view(np.int64)
@@ -161,7 +172,7 @@ def batches(texts: pd.Series, chars: int = 2_000_000) -> Iterator[pd.Series]:
         yield part
 
 
-def describe(docs: DataFrame, size: int) -> DataFrame:
+def describe(docs: DataFrame, size: int, bands: int) -> DataFrame:
     """``(doc_id, n, cls, regs, keys)`` of every row."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +180,7 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
         for part in parts:
             for texts in batches(part["text"]):
                 sets = shingles(texts)
-                regs = registers(sets)
+                regs = registers(sets, bands * ROWS)
                 yield pd.DataFrame({
                     "doc_id": part.loc[texts.index, "doc_id"].astype("Int64"), "n": [len(s) for s in sets], "cls": [class_id(s) for s in sets],
                     "regs": [r.tobytes() if len(s) else None for r, s in zip(regs, sets, strict=True)], "keys": list(band_keys(regs))})
@@ -324,7 +335,7 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
                 if best and len(at):
                     at = at[[np.argmax(e)]]
                 elif len(at):
-                    same = ((regs[at] == regs[i]).reshape(len(at), BANDS, ROWS).all(axis=2)) & used[i].reshape(BANDS, ROWS).any(axis=1)
+                    same = ((regs[at] == regs[i]).reshape(len(at), -1, ROWS).all(axis=2)) & used[i].reshape(-1, ROWS).any(axis=1)
                     at = at[same.argmax(axis=1) == band]
                 if len(at):
                     partners[i] = at
@@ -339,7 +350,7 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` of every row of ``docs`` (doc_id, text)."""
     similarity = percent / 100
-    rows = cut(describe(docs, size), "near-rows")
+    rows = cut(describe(docs, size, bands_for(similarity)), "near-rows")
     usable = rows.where("n > 0 and doc_id is not null")
     classes = cut(usable.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("regs").alias("regs"), F.first("keys").alias("keys")), "near-classes")
     banded = classes.select("cls", F.posexplode("keys").alias("band", "key")).where("key <> 0")
