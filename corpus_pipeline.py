@@ -12,21 +12,24 @@ from hirelens.llm import decontaminate, line_dedup, mixing, near_dedup, toxicity
 from hirelens.llm.common import read_table, shared_dir
 
 
-def _like_input(out: DataFrame, docs: DataFrame) -> DataFrame:
+def _columns(docs: DataFrame) -> list:
     """The columns of ``docs``; n_chars follows a changed text."""
-    cols = [F.char_length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns]
-    return out.select(*cols)
+    return [F.char_length("__text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col("__text").alias("text") if c == "text"
+            else F.col(f"`{c}`") for c in docs.columns]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    scored = toxicity.score_toxicity(docs, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 0").select(*[f"`{c}`" for c in docs.columns])
+    kept = docs.withColumns({"__doc": F.struct(*[F.col(f"`{c}`") for c in docs.columns])}).select("doc_id", "text", "__doc")
+    scored = toxicity.score_toxicity(kept, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.where("predicted = 0").select("__doc.*")
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that others share."""
-    return _like_input(line_dedup.dedup_lines(docs), docs)
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    cleaned = line_dedup.dedup_lines(docs.select("doc_id", "text", F.struct(*rest).alias("__rest")))
+    return cleaned.select(F.col("text").alias("__text"), "__rest.*").select(*_columns(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +46,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the words the mix takes of each."""
-    return mixing.mix_sources(docs)
+    return mixing.mix_documents(docs)
 
 
 STAGES = [
