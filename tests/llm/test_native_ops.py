@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -185,13 +186,63 @@ def test_decontamination_finds_reparameterised_items(spark):
     docs = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, item_id int")
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = decontaminate.matches(docs, bench).where("contaminated").collect()
-    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (None, 2)} | ({(6, 2)} if any(r.doc_id == 6 for r in found) else set())
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 1), (None, 2), (6, 2), (7, 3)}
     left = decontaminate.decontaminate(docs, bench)
-    assert {3, 4, 5, 7, 8, 9} <= {r.doc_id for r in left.collect()} and left.columns == docs.columns
+    assert {3, 4, 5, 8, 9} <= {r.doc_id for r in left.collect()} and left.columns == docs.columns
     assert decontaminate.matches(docs.limit(0), bench).count() == decontaminate.matches(docs, bench.limit(0)).count() == 0
     assert left.where("doc_id in (1, 2)").count() == 0
 
 
+def test_decontamination_finds_short_items_and_items_full_of_values(spark):
+    items = [(1, "Name the capital of"), (2, "Yes"), (3, "12 + 15 = 27, 13 + 18 = 31, 44 + 9 = 53"), (4, "Ann, Bob and Carl met Dora")]
+    far = "some words of a quite different kind stand here and there"
+    rows = [(1, f"{far} name the capital of {far}"), (2, f"{far} name the big capital of"), (3, "yes"), (4, f"{far}: 12 + 15 = 27, 13 + 18 = 31, 44 + 9 = 53. {far}"),
+            (5, f"{far}: 12 + 16 = 28, 13 + 19 = 32, 44 + 8 = 52. {far}"), (6, "NAME THE CAPITAL OF"), (7, f"{far} Ann, Bob and Carl met Dora {far}"), (8, f"{far} Eve, Fay and Gus met Hal")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string")).where("contaminated").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (6, 1), (4, 3), (7, 4)}
+    assert {r.longest for r in found if r.item_id == 1} == {4}
+
+
+def test_decontamination_against_plain_windows(spark):
+    """Texts without names, numbers and units: the share of an item's windows, and the longest run on one alignment."""
+    r = random.Random(12)
+    words = "ash bay cove dune elm fern glen hill isle".split()
+    line = lambda n: [r.choice(words) for _ in range(n)]
+    items = [(i, line(r.choice([2, 4, 5, 8, 20, 40]))) for i in range(25)]
+    docs = []
+    for i in range(60):
+        text = line(r.randint(0, 30))
+        if i % 2:
+            item = r.choice(items)[1]
+            lo = r.randint(0, max(0, len(item) // 3))
+            text += item[lo:] if i % 4 == 1 else item[: max(1, len(item) - 1)] + ["other"]
+        docs.append((i, text + line(r.randint(0, 10))))
+
+    def windows(w, n):
+        return [tuple(w[k : k + n]) for k in range(len(w) - n + 1)]
+
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            n = min(5, len(item))
+            mine, theirs = windows(item, n), windows(text, n)
+            hit = [q for q, x in enumerate(mine) if x in theirs]
+            if not hit:
+                continue
+            run = max((sum(1 for _ in itertools.takewhile(lambda k: q + k < len(mine) and p + k < len(theirs) and mine[q + k] == theirs[p + k], itertools.count()))
+                       for q in range(len(mine)) for p in range(len(theirs))), default=0)
+            share = len(hit) / len(mine)
+            if share >= 0.8:
+                want[d, i] = share
+            elif run + n - 1 >= 25:
+                want[d, i] = share
+    frame = lambda rows, key: spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{key} long, text string")
+    got = {(x.doc_id, x.item_id): x.found for x in decontaminate.matches(frame(docs, "doc_id"), frame(items, "item_id")).where("contaminated").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    assert len(want) > 15
+
+
 def test_decontamination_checks_slots(spark):
     """The same template with one value that stands for two others is another question."""
     item = "put 3 red balls and 3 blue balls and 3 green balls and 3 black balls and 3 white balls into it"
