@@ -31,6 +31,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirelens.llm.common import cut
+
 #: Marks a name or number; a private-use character, so no text's word has it by chance.
 MARK = ""
 #: A capitalised word that doesn't begin a sentence, or a digit that begins a word.  The rare class comes first, then the look behind it.
@@ -160,7 +162,9 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = 5, similarity:
     keys = ["doc_id", "text_hash"]
     known = F.broadcast(bench.select("wh").distinct()) if small else bench.select("wh").distinct()
     touched = window_hashes(texts, keys, window, plain).join(known, "wh", "left_semi").select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    texts = texts.join(touched, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_hash") == F.col("__text_hash")), "left_semi")
+    # Both are written: the few documents' size is then known, and nothing of the second pass is done for all texts.
+    touched = cut(touched, "decontaminate-touched")
+    texts = cut(texts.join(touched, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("text_hash") == F.col("__text_hash")), "left_semi"), "decontaminate-texts")
     every = template_windows(texts, keys, window)
     if plain:
         every = every.unionByName(plain_windows(texts, keys, plain))
