@@ -33,6 +33,8 @@ GRAMS = (3, 4, 5)
 WINDOW, STRIDE = 24, 12
 #: Words whose logit shares a task keeps.
 CACHE_WORDS = 400_000
+#: Words whose n-grams are made at a time.
+PART_WORDS = 16_384
 
 
 def words_of(text: str | None) -> list[str]:
@@ -44,6 +46,10 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
     Every word has at least one n-gram: with its brackets it has three characters.
     """
+    if len(words) > PART_WORDS:  # the same, with room for one part's arrays only
+        parts = [grams(words[i : i + PART_WORDS]) for i in range(0, len(words), PART_WORDS)]
+        before = np.cumsum([0] + [len(ids) for ids, _ in parts[:-1]])
+        return np.concatenate([ids for ids, _ in parts]), np.concatenate([offsets + b for (_, offsets), b in zip(parts, before, strict=True)])
     chars = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     lengths = np.array([len(w) + 2 for w in words])
     ends = np.cumsum(lengths)
