@@ -18,8 +18,8 @@ registers make candidate groups.  The work is then:
 
 Steps 2 and 4 together see every pair of different components that shares a
 band, so skipping pairs inside a component loses no document.  There are as many
-bands as the threshold asks for (32 for 0.85, 50 for 0.8): a pair at the
-threshold shares no band with probability 3e-7, and fails the estimate (3.5
+bands as the threshold asks for, 32 at most: a pair at the threshold shares no
+band with probability 3e-7 (at 0.8 with 6e-5), and fails the estimate (3.5
 standard errors and one register below the threshold) with 1e-4 or less.  Class ids have 64 bits:
 among 10**9 different texts, a collision is expected with probability 0.03.
 
@@ -46,8 +46,9 @@ from hirelens.llm.common import cut, parallelism
 from hirelens.llm.components import components
 
 ROWS = 6
-#: Chance that a pair at the threshold shares no band; the bands are as many as that asks for.
-MISS = 3e-7
+#: Chance that a pair at the threshold shares no band, and the most bands: with more, those of short texts hold so
+#: few registers that unrelated texts collide, and their groups outgrow the input.
+MISS, MOST_BANDS = 3e-7, 32
 MANTISSA = 10
 #: Chance that two different minima share a register: the mantissa agrees, and the leading zeros, which have geometric odds.
 COLLISION = 2.0**-MANTISSA / 3
@@ -60,7 +61,7 @@ ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6
 
 
 def bands_for(similarity: float) -> int:
-    return max(1, math.ceil(math.log(MISS) / math.log(1 - similarity**ROWS))) if similarity < 1 else 1
+    return min(MOST_BANDS, math.ceil(math.log(MISS) / math.log(1 - similarity**ROWS))) if similarity < 1 else 1
 
 
 #: Registers for the contract's threshold.
