@@ -8,8 +8,9 @@ that pass, and those that look alike and fail) and from keys named as such; the
 threshold is set on candidates held out from the trees, and what scores above it
 is added to the base spans.
 
-The trees learn from a bounded number of candidates (FIT_ROWS); everything else
-covers every text.  Only spans are shuffled, never texts.
+The trees and the threshold take in every settled candidate: those alike in all
+features are one row with their number as its weight.  Only spans are shuffled,
+never texts.
 
 Cases: null and empty texts have no spans.  Rows that repeat are each answered.
 Without candidates of both kinds nothing is added.  Positions are code points,
@@ -58,7 +59,6 @@ WORDS = {
     "card": r"(?i)(card|visa|credit|account|iban|pay)\W*$",
     "net": r"(?i)(ip|host|server|mail|contact|address)\W*$",
 }
-FIT_ROWS = 20_000
 PRECISION = 0.95
 SPAN = "struct<start:int,end:int,kind:string,value:string,left:string,right:string>"
 
@@ -153,18 +153,26 @@ def features(spans: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(out)
 
 
-def accepted(spans: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION) -> DataFrame:
+def settled(spans: DataFrame) -> DataFrame:
+    """All candidates of known ``y``, by (y, held, features): ``n`` of them are alike; ``held``: kept from the trees, by the text's hash."""
+    names = [c for c in spans.columns if c.startswith("f_")]
+    held = (F.pmod(F.xxhash64("__hash"), F.lit(3)) == 0).alias("held")
+    alike = spans.where("y is not null").groupBy("y", held, *names).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    return VectorAssembler(inputCols=names, outputCol="features").transform(alike).select("y", "held", "n", "features")
+
+
+def accepted(spans: DataFrame, precision: float = PRECISION) -> DataFrame:
     """The spans to report: base spans, and candidates that the trees score above the calibrated threshold."""
-    sample = spans.where("y is not null").orderBy(F.xxhash64("__hash", "s.start", "s.kind")).limit(fit_rows)
-    sample = cut(sample.select("y", "features", (F.pmod(F.xxhash64("__hash"), F.lit(3)) == 0).alias("held")), "pii-sample")
-    counts = {(r["held"], r["y"]): r["n"] for r in sample.groupBy("held", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = cut(settled(spans), "pii-settled")
+    counts = {(r["held"], r["y"]): r["n"] for r in known.groupBy("held", "y").agg(F.sum("n").alias("n")).collect()}
     if min(counts.get((h, y), 0) for h in (False, True) for y in (0.0, 1.0)) < 5:
         return spans.where("base")
-    trees = GBTClassifier(labelCol="y", maxIter=10, maxDepth=4, stepSize=0.3, seed=7, checkpointInterval=-1, minInstancesPerNode=5)
-    model = trees.fit(sample.where("not held").repartition(2))
+    least_weight = min(0.4, 5 / (counts[False, 0.0] + counts[False, 1.0]))  # five candidates a leaf, alike or not
+    trees = GBTClassifier(labelCol="y", weightCol="n", maxIter=10, maxDepth=4, stepSize=0.3, seed=7, checkpointInterval=-1, minWeightFractionPerNode=least_weight)
+    model = trees.fit(known.where("not held"))
     score = F.round(vector_to_array("probability")[1], 3)
-    curve = model.transform(sample.where("held")).groupBy(score.alias("p")).agg(F.sum("y").alias("good"), F.count(F.lit(1)).alias("n")).collect()
-    least, good, n = 2.0, 0.0, 0
+    curve = model.transform(known.where("held")).groupBy(score.alias("p")).agg(F.sum(F.col("y") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
+    least, good, n = 2.0, 0.0, 0.0
     for p, g, k in sorted(((r["p"], r["good"], r["n"]) for r in curve), reverse=True):
         good, n = good + g, n + k
         if p >= 0.5 and good >= precision * n:
