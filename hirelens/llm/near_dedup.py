@@ -2,7 +2,7 @@
 
 A document's shingle hashes fall into REGISTERS buckets; each keeps its smallest
 hash as leading-zero count plus mantissa bits (16 bits in all).  Bands of
-registers make candidate groups.  The work is then:
+the smallest hashes, whole ones, make candidate groups.  The work is then:
 
 1. equal shingle sets collapse to one class each, so copies cost nothing;
 2. in each candidate group every class is compared with two centres (those
@@ -131,30 +131,41 @@ class Shingler:
         return out, h
 
 
-def registers(sets: list[np.ndarray], count: int = REGISTERS) -> np.ndarray:
-    """HyperMinHash registers, one row per set: 0 is empty, else leading zeros plus one, then the mantissa.
+def sketch(sets: list[np.ndarray], count: int = REGISTERS) -> tuple[np.ndarray, np.ndarray]:
+    """HyperMinHash registers and the whole minima they are made from, one row per set; 0 is empty.
 
-    A hash, as a fraction of 2**64 times ``count``, names its register and its
-    place in it, so in a sorted set the first hash of each register is its smallest.
+    A register is the leading zeros plus one, then the mantissa.  A hash, as a
+    fraction of 2**64 times ``count``, names its register and its place in it,
+    so in a sorted set the first hash of each register is its smallest.
     """
-    out = np.zeros((len(sets), count), dtype=np.uint16)
+    regs, whole = np.zeros((len(sets), count), dtype=np.uint16), np.zeros((len(sets), count), dtype=np.uint64)
     sizes = np.array([len(s) for s in sets])
     if not sizes.sum():
-        return out
+        return regs, whole
     at = (np.concatenate(sets) >> np.uint64(11)) * np.uint64(count)
     owner, bucket = np.repeat(np.arange(len(sets)), sizes), (at >> np.uint64(53)).astype(np.int64)
     first = np.ones(len(at), dtype=bool)
     first[1:] = (bucket[1:] != bucket[:-1]) | (owner[1:] != owner[:-1])
-    low = (at[first] & np.uint64((1 << 53) - 1)).astype(np.float64)
-    part, exponent = np.frexp(low)
+    low = at[first] & np.uint64((1 << 53) - 1)
+    whole[owner[first], bucket[first]] = low + np.uint64(1)
+    part, exponent = np.frexp(low.astype(np.float64))
     mantissa = np.floor(np.maximum(part - 0.5, 0) * 2 * (1 << MANTISSA)).astype(np.int64)
-    out[owner[first], bucket[first]] = ((54 - exponent.astype(np.int64)) << MANTISSA) + mantissa
-    return out
+    regs[owner[first], bucket[first]] = ((54 - exponent.astype(np.int64)) << MANTISSA) + mantissa
+    return regs, whole
+
+
+def registers(sets: list[np.ndarray], count: int = REGISTERS) -> np.ndarray:
+    return sketch(sets, count)[0]
+
 
+def band_keys(whole: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each row's bands of whole minima; 0 for a band without a register in use.
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each row's bands; 0 for a band without a register in use."""
-    rows = regs.reshape(len(regs), -1, ROWS).astype(np.uint64)
+    Of short texts a band often holds one register.  By its 16 bits, unrelated
+    texts would meet by chance, in groups that grow with the input; by the whole
+    minimum only texts that share the shingle meet.
+    """
+    rows = whole.reshape(len(whole), -1, ROWS)
     total = np.zeros(rows.shape[:2], dtype=np.uint64)
     for i in range(ROWS):
         total = mix(total + rows[:, :, i] * ODD[i % 3] + np.uint64(i + 1))
@@ -181,10 +192,10 @@ def describe(docs: DataFrame, size: int, bands: int) -> DataFrame:
         for part in parts:
             for texts in batches(part["text"]):
                 sets = shingles(texts)
-                regs = registers(sets, bands * ROWS)
+                regs, whole = sketch(sets, bands * ROWS)
                 yield pd.DataFrame({
                     "doc_id": part.loc[texts.index, "doc_id"].astype("Int64"), "n": [len(s) for s in sets], "cls": [class_id(s) for s in sets],
-                    "regs": [r.tobytes() if len(s) else None for r, s in zip(regs, sets, strict=True)], "keys": list(band_keys(regs))})
+                    "regs": [r.tobytes() if len(s) else None for r, s in zip(regs, sets, strict=True)], "keys": list(band_keys(whole))})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInPandas(run, "doc_id long, n long, cls long, regs binary, keys array<long>")
@@ -307,7 +318,8 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
         "band", "key", "cls", "size", F.coalesce("label", "cls").alias("comp"))
     known = cut(known, "near-members")
     mixed = known.groupBy("band", "key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("band", "key")
-    rows = known.where("size > 2").join(mixed, ["band", "key"]).join(classes.select("cls", "n", "regs"), "cls")
+    sketches = classes.select("cls", "n", "regs", F.array().cast("array<long>").alias("keys") if best else "keys")
+    rows = known.where("size > 2").join(mixed, ["band", "key"]).join(sketches, "cls")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -322,7 +334,7 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
         for (band, _, lo, hi), cell in part.groupby(["band", "key", "lo", "hi"], sort=False):
             regs = np.frombuffer(b"".join(cell["regs"]), dtype=np.uint16).reshape(len(cell), -1)
             cls, comp, n, own = (cell[c].to_numpy() for c in ("cls", "comp", "n", "own"))
-            used = regs != 0
+            keys = np.stack(cell["keys"].to_list())
             partners: dict[int, np.ndarray] = {}
             for i in range(len(cell)):
                 ok = (comp != comp[i]) & (cls > cls[i]) & (np.minimum(n, n[i]) >= similarity * np.maximum(n, n[i]))
@@ -336,7 +348,7 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
                 if best and len(at):
                     at = at[[np.argmax(e)]]
                 elif len(at):
-                    same = ((regs[at] == regs[i]).reshape(len(at), -1, ROWS).all(axis=2)) & used[i].reshape(-1, ROWS).any(axis=1)
+                    same = (keys[at] == keys[i]) & (keys[i] != 0)
                     at = at[same.argmax(axis=1) == band]
                 if len(at):
                     partners[i] = at
@@ -345,7 +357,7 @@ def across(members: DataFrame, classes: DataFrame, labels: DataFrame, similarity
                 found += [(task, cls[i], cls[partners[i]] if i in partners else cls[:0]) for i in involved.tolist()]
         return pd.DataFrame(found, columns=["task", "a", "bs"])
 
-    return cells.select("band", "key", "lo", "hi", "cls", "comp", "n", "own", "regs", "task").groupBy("task").applyInPandas(run, "task long, a long, bs array<long>")
+    return cells.select("band", "key", "lo", "hi", "cls", "comp", "n", "own", "regs", "keys", "task").groupBy("task").applyInPandas(run, "task long, a long, bs array<long>")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hirelens.llm import components, html_text, near_dedup, quality, substring_dedup, toxicity
 from hirelens.llm.common import read_table
@@ -68,6 +69,15 @@ def test_near_duplicates_against_all_pairs(spark):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_unrelated_short_texts_share_no_band(spark):
+    """Candidate groups come from shared shingles alone, not from registers that are alike by chance."""
+    rows = [(i, " ".join(f"w{i}_{k}" for k in range(14))) for i in range(2000)] + [(5000, "a b c d e f g h"), (5001, "A b c  d e f g h")]
+    described = near_dedup.describe(spark.createDataFrame(rows, "doc_id long, text string"), 5, near_dedup.bands_for(0.8))
+    keys = described.selectExpr("doc_id", "posexplode(keys) as (band, key)").where("key <> 0")
+    meet = keys.groupBy("band", "key").agg(F.collect_set("doc_id").alias("ids")).where("size(ids) > 1").collect()
+    assert meet and all(set(r.ids) == {5000, 5001} for r in meet)
+
+
 def test_near_duplicates_of_a_hub(spark):
     """Copies that are similar to their common base, but not to each other, are one component."""
     rng = random.Random(2)
