@@ -226,10 +226,12 @@ def repeated_windows(docs: DataFrame, seeded: DataFrame) -> DataFrame:
 
     spot = F.struct("doc_id", "place")
     twice = lambda t, key: t.groupBy(key).agg(F.min(spot).alias("first"), F.max(spot).alias("last")).where("first <> last").select(F.col(key).alias("k"), "first")
+    # Dealt by key first, the rows are sent once, for the grouping and the join.
+    seeded = seeded.repartition("fp")
     again = seeded.join(twice(seeded, "fp").select("k"), F.col("fp") == F.col("k"), "left_semi")
     asked = again.groupBy(F.col("doc_id").alias("d")).agg(F.collect_set("place").alias("some"))
     texts = known(docs).join(asked, F.col("doc_id") == F.col("d")).select("doc_id", "text", "some")
-    found = cut(texts.mapInPandas(run, "w long, doc_id long, place long"), "passage-windows")
+    found = cut(texts.mapInPandas(run, "w long, doc_id long, place long"), "passage-windows").repartition("w")
     hits = found.join(twice(found, "w"), F.col("w") == F.col("k"))
     same = (F.col("doc_id") == F.col("first.doc_id")) & (F.shiftright("place", LINE_BITS) == F.shiftright("first.place", LINE_BITS)) & (F.col("place") > F.col("first.place"))
     begin = F.when(same, F.greatest(F.col("place"), F.col("first.place") + PASSAGE)).otherwise(F.col("place"))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hirelens.llm import components, html_text, near_dedup, quality, substring_dedup, toxicity
+from hirelens.llm import common, components, html_text, near_dedup, quality, substring_dedup, toxicity
 from hirelens.llm.common import read_table
 
 SF = "/root/testdata/sf0.01"
@@ -163,6 +163,25 @@ def test_passages_of_fifty_words_are_found_from_end_to_end(spark):
     assert got[900].removed_words == len(rows[1][1].split()) and got[901].removed_words == 150
 
 
+def test_windows_are_sent_once(spark):
+    rng = random.Random(43)
+    p = " ".join(f"w{rng.randrange(30000)}" for _ in range(60))
+    docs = spark.createDataFrame([(1, f"a b c {p}"), (2, f"{p} d e"), (2, f"{p} d e"), (3, "same " * 120), (4, None)], "doc_id long, text string")
+    seeded = common.cut(substring_dedup.paragraphs(docs, 2).where("n_words = 0").select("doc_id", "place", "fp"), "test-seeds")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan shows what is used again only once it ran
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hits = substring_dedup.repeated_windows(docs, seeded)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        rows = hits.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("ReusedExchange") == 1 and plan.count(" Exchange hashpartitioning(w") - plan.count("], Exchange hashpartitioning(w") == 1
+    assert {r.doc_id: r.removed for r in rows if r.doc_id != 3} == {1: False, 2: True} and len([r for r in rows if r.doc_id == 1]) == 11
+    assert len([r for r in rows if r.doc_id == 3]) == 71
+
+
 def hub_of(rng, variants):
     """A paragraph of 60 words and variants of it with one word changed each: similar to it, not to each other."""
     base = [f"w{rng.randrange(30000)}" for _ in range(60)]
