@@ -19,9 +19,9 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_rows: int = MAX_ROWS,
-                    max_chars: int = MAX_CHARS) -> tuple[pd.DataFrame, float]:
-    """Texts and labels to learn from (``text``, ``y``), and the share of label 1 among all rows one may learn from.
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_rows: int = MAX_ROWS,
+                   max_chars: int = MAX_CHARS) -> tuple[DataFrame, float]:
+    """Texts and labels to learn from (``doc_id``, ``text``, ``y``), and the share of label 1 among all rows one may learn from.
 
     Of each class the ``max_rows`` rows that a hash of doc_id puts first, texts
     over ``max_chars`` left out: the one part of the classifiers that is sampled.
@@ -34,7 +34,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     picked = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * max_rows rows of two numbers at most
     texts = docs.join(picked, "doc_id").where(F.char_length("text") <= max_chars).groupBy("doc_id").agg(
         F.max("y").alias("y"), F.min("text").alias("text"))
-    return texts.select("doc_id", "text", "y").toPandas().sort_values("doc_id", ignore_index=True), share
+    return texts.select("doc_id", "text", "y"), share
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> tuple[pd.DataFrame, float]:
+    """:func:`labelled_texts` in the driver, by doc_id."""
+    texts, share = labelled_texts(docs, labels, label, learn)
+    return texts.toPandas().sort_values("doc_id", ignore_index=True), share
 
 
 def logistic(x: np.ndarray, y: np.ndarray, share: float, steps: int = 50, ridge: float = 1e-3) -> tuple[float, float]:

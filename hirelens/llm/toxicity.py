@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelens.llm.labelled import fold, labelled_sample, logistic, probability, with_scores
+from hirelens.llm.labelled import fold, labelled_texts, logistic, probability, with_scores
 
 WORD = re.compile(r"[^\W_]+")
 BUCKETS, DIMS = 1 << 17, 16
@@ -189,14 +189,27 @@ def scorer(model: dict):
     return score
 
 
+def fit(texts: DataFrame, share: float) -> dict:
+    """:func:`train` on the bounded sample ``texts`` (doc_id, text, y) in a task, by doc_id; only the model comes to the driver."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("doc_id", ignore_index=True)
+        model = train(part["text"].tolist(), part["y"].to_numpy(int), share)
+        return pd.DataFrame({"shares": [model["table"].tobytes()], "bias": [model["bias"]], "line": [list(model["line"])]})
+
+    fitted = texts.groupBy(F.lit(0).alias("one")).applyInPandas(run, "shares binary, bias double, line array<double>").first()
+    if fitted is None:  # nothing to learn from
+        return train([], np.zeros(0, dtype=int), share)
+    return {"table": np.frombuffer(fitted["shares"], dtype=np.float32), "bias": fitted["bias"], "line": tuple(fitted["line"])}
+
+
 def score_toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, folds: int = 5, held_fold: int = 0) -> DataFrame:
     """``docs`` with held_out, score and predicted.
 
     ``labelled`` holds the texts that ``labels`` (doc_id, toxic) speak of; rows
     of fold ``held_fold`` are never learned from.
     """
-    sample, share = labelled_sample(labelled, labels, "toxic", fold(F.col("doc_id"), folds) != held_fold)
-    model = train(sample["text"].tolist(), sample["y"].to_numpy(int), share)
+    model = fit(*labelled_texts(labelled, labels, "toxic", fold(F.col("doc_id"), folds) != held_fold))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats, whatever the table's size
 
     @F.pandas_udf("double")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 import re
 import zlib
@@ -238,6 +239,24 @@ def test_held_out_accuracy(spark, score, name, folds, fold, least):
     assert sum(a == b for a, b in mine) / len(mine) > least
 
 
+def test_toxicity_is_fitted_in_a_task(spark, monkeypatch):
+    rows = [(k, f"{'vile' if k % 3 == 0 else 'kind'} words number {k % 7} here", int(k % 3 == 0)) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train([t for _, t, _ in rows], np.array([y for *_, y in rows]), 0.3)
+    texts = docs.select("doc_id", "text", F.col("toxic").alias("y")).orderBy(F.desc("doc_id"))
+    own = os.getpid()
+    train = toxicity.train
+
+    def elsewhere(*given):
+        assert os.getpid() != own or not given[0], "trained in the driver"
+        return train(*given)
+
+    monkeypatch.setattr(toxicity, "train", elsewhere)
+    fitted = toxicity.fit(texts, 0.3)
+    assert (fitted["table"] == model["table"]).all() and fitted["bias"] == model["bias"] and fitted["line"] == model["line"]
+    assert toxicity.fit(texts.where("false"), 0.3)["line"] == train([], np.zeros(0, dtype=int), 0.3)["line"]
+
+
 @pytest.mark.parametrize("score", [toxicity.score_toxicity, quality.score_quality])
 def test_scores_of_awkward_rows(spark, score):
     docs = spark.createDataFrame([(1, None, 2.0), (2, "", 2.0), (None, "some words", 2.0), (4, "!!! ...", 2.0), (4, "é " * 60_000, 2.0)], "doc_id long, text string, score double")
